@@ -24,10 +24,8 @@ def parse_entries(
             F.regexp_extract_all(column, regex, F.lit(2)).alias("lastmod"),
         )
     elif mode == "strict":
-        elements = F.transform(
-            F.slice(F.split(column, "<url>"), 2, 2**31 - 1),
-            lambda part: F.concat(F.lit("<url>"), part),
-        )
+        opened = F.filter(F.split(column, "<url>"), lambda _, i: i > 0)
+        elements = F.transform(opened, lambda part: F.concat(F.lit("<url>"), part))
         matching = F.filter(elements, lambda part: F.regexp_count(part, regex) > 0)
         parts = F.transform(
             matching,
