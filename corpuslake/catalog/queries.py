@@ -615,7 +615,7 @@ def reduced_records(spark, d):
 
 @query
 def filename_columns(spark, d):
-    names = fx.file_names(spark, d).where(F.col("file_name").contains("chunksize"))
+    names = fx.file_names(spark, d).where(F.col("file_name").contains("-vectors-"))
     return documents.with_name_columns(names)
 
 
@@ -644,7 +644,7 @@ def _document_summary(docs):
         "metadata.general_id",
         "metadata.text",
         F.size("values").alias("dim"),
-        F.map_keys("sparse_values")[0].alias("first_idx"),
+        F.get(F.map_keys("sparse_values"), F.lit(0)).alias("first_idx"),
     )
 
 
@@ -652,8 +652,8 @@ def _document_summary(docs):
 def document_json(spark, d):
     docs = _documents(spark, d)
     text = docs.select(F.to_json(F.struct(*docs.columns)).alias("value"))
-    parsed = text.select(F.from_json("value", schemas.DOCUMENTS).alias("doc")).select("doc.*")
-    return _document_summary(parsed)
+    parsed = text.select(F.from_json("value", schemas.DOCUMENTS_JSON).alias("doc")).select("doc.*")
+    return _document_summary(readers.from_json_documents(parsed))
 
 
 @query

@@ -98,6 +98,16 @@ DOCUMENTS = T.StructType(
     ]
 )
 
+# JSON object keys are strings, so stored documents carry string indices.
+DOCUMENTS_JSON = T.StructType(
+    [
+        _s("unique_id"),
+        _s("values", T.ArrayType(T.FloatType())),
+        _s("sparse_values", T.MapType(T.StringType(), T.DoubleType())),
+        _s("metadata", METADATA),
+    ]
+)
+
 SPARSE_PAIR = T.StructType(
     [
         _s("indices", T.ArrayType(T.IntegerType())),

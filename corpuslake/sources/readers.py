@@ -32,11 +32,11 @@ def read_change_sets(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(schemas.CHANGE_SET).option("multiLine", True).json(path)
 
 
-_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"'}
+_CSV = {"header": True, "multiLine": True, "quote": '"', "escape": '"', "nullValue": "", "emptyValue": ""}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """CSV whose quoted fields may hold line breaks (HTML)."""
+    """CSV whose quoted fields may hold line breaks (HTML); empty fields come back null."""
     return spark.read.schema(schema).options(**_CSV).csv(path)
 
 
@@ -44,16 +44,24 @@ def read_enriched_csv(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.PAGES)
 
 
+def from_json_documents(rows: DataFrame) -> DataFrame:
+    """Documents parsed from JSON: sparse indices back from strings to integers."""
+    indices = F.transform_keys("sparse_values", lambda k, _: k.cast("int"))
+    return rows.withColumn("sparse_values", indices)
+
+
 def read_documents(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Stored documents.  JSON may be one object per line or one array per file."""
     if fmt == "parquet":
         return spark.read.schema(schemas.DOCUMENTS).parquet(path)
-    return spark.read.schema(schemas.DOCUMENTS).json(path)
+    return from_json_documents(spark.read.schema(schemas.DOCUMENTS_JSON).json(path))
 
 
 def read_document_arrays(spark: SparkSession, path: str) -> DataFrame:
     """Files that each hold one JSON array of documents."""
-    return spark.read.schema(schemas.DOCUMENTS).option("multiLine", True).json(path)
+    return from_json_documents(
+        spark.read.schema(schemas.DOCUMENTS_JSON).option("multiLine", True).json(path)
+    )
 
 
 def read_id_lists(spark: SparkSession, path: str) -> DataFrame:
@@ -82,7 +90,8 @@ def read_collections(spark: SparkSession, folder: str, model: str) -> DataFrame:
     name = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]*chunksize[^/]*\.json)", 1)
     if not path_exists(spark, pattern):
         return empty(spark, schemas.DOCUMENTS).withColumn("file_name", F.lit(""))
-    return spark.read.schema(schemas.DOCUMENTS).json(pattern).select("*", name.alias("file_name"))
+    found = spark.read.schema(schemas.DOCUMENTS_JSON).json(pattern)
+    return from_json_documents(found.select("*", name.alias("file_name")))
 
 
 def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:

@@ -27,7 +27,7 @@ def _cell(value):
     if isinstance(value, float):
         return "nan" if math.isnan(value) else repr(value + 0.0)
     if isinstance(value, datetime):
-        return value.isoformat()
+        return value.replace(tzinfo=None).isoformat()
     if isinstance(value, date):
         return value.isoformat()
     return repr(value)
@@ -41,10 +41,10 @@ def compare(frame, con, sql):
     if ours != theirs:
         return f"schema {ours} vs {theirs}"
     names = sorted(ours)
-    left = frame.select(*[f"`{n}`" for n in names]).toPandas()
+    left = frame.select(*[f"`{n}`" for n in names]).toArrow()
     right = relation.fetchall()
     order = [relation.columns.index(n) for n in names]
-    a = sorted(tuple(map(_cell, row)) for row in _plain(left))
+    a = sorted(tuple(map(_cell, row)) for row in _rows(left))
     b = sorted(tuple(_cell(row[i]) for i in order) for row in right)
     if len(a) != len(b):
         return f"{len(a)} rows vs {len(b)}"
@@ -54,12 +54,8 @@ def compare(frame, con, sql):
     return None
 
 
-def _plain(pdf):
-    columns = []
-    for name in pdf.columns:
-        column = pdf[name]
-        values = column.astype(object).where(column.notna(), None).tolist()
-        columns.append([v.to_pydatetime() if hasattr(v, "to_pydatetime") else v.item() if hasattr(v, "item") else v for v in values])
+def _rows(table):
+    columns = [column.to_pylist() for column in table.columns]
     return zip(*columns) if columns else []
 
 
