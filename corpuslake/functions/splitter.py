@@ -2,8 +2,8 @@
 
 Every separator stays at the start of the piece it opens, so the pieces of a
 text are adjacent spans and a chunk is one span between two piece boundaries.
-Chunk ends are therefore found by binary search over boundary offsets, once
-per chunk, rather than by walking over every word.
+Chunk ends are therefore found by searching for the boundary nearest to the
+limit, once per chunk, rather than by walking over every word.
 """
 
 import re
@@ -29,6 +29,20 @@ def _windows(bounds, size, overlap):
         i = bisect_left(bounds, max(bounds[j] - overlap, bounds[j + 1] - size))
 
 
+def _blank_windows(text, lo, hi, separator, size, overlap):
+    """The same windows for a one-character separator, by string search alone."""
+    start = lo
+    while hi - start > size:
+        end = text.rfind(separator, start + 1, start + size + 1)
+        yield start, end
+        after = text.find(separator, end + 1, hi)
+        floor = max(end - overlap, (hi if after < 0 else after) - size)
+        start = text.find(separator, floor, end)
+        if start < 0:
+            start = end
+    yield start, hi
+
+
 def _boundaries(text, lo, hi, separator):
     if not separator:
         return range(lo, hi + 1)
@@ -50,6 +64,9 @@ def chunk_spans(text, size, overlap, separators=C.SEPARATORS, lo=0, hi=None):
     else:
         separator = separators[level]
     finer = separators[level + 1 :] if separator else ()
+    if len(separator) == 1 and max(map(len, text[lo:hi].split(separator))) < size - 1:
+        yield from _blank_windows(text, lo, hi, separator, size, overlap)
+        return
     bounds = _boundaries(text, lo, hi, separator)
     lengths = (b - a for a, b in zip(bounds, bounds[1:]))
     long_pieces = [n for n, length in enumerate(lengths) if length >= size]

@@ -12,7 +12,7 @@ def strip(text) -> Column:
 
 
 def collapse_whitespace(text) -> Column:
-    return strip(F.regexp_replace(text, r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(text, r"(?U)\s+", " "))
 
 
 def words(text) -> Column:

@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.text import tokens, words
-from corpuslake.operators.common import single
+from corpuslake.operators.common import single, spread, unfold
 from corpuslake.sources.scratch import checkpointed
 
 # Terms joined by broadcast: at most this many, none longer than this, so the
@@ -17,18 +17,23 @@ HOT_TERM_LENGTH = 256
 
 def tokenize(docs: DataFrame, text: str, *keys: str) -> DataFrame:
     """One row per token: keys, ``pos`` (0-based), ``term``."""
-    return docs.select(*keys, F.posexplode(tokens(text)).alias("pos", "term"))
+    split = spread(docs.select(*keys, text), *keys)
+    return unfold(split, list(keys), tokens(text), "term", "pos")
 
 
 def vocabulary(docs: DataFrame, text: str) -> DataFrame:
     """Distinct lower-cased tokens."""
-    return docs.select(F.explode(F.array_distinct(tokens(text))).alias("term")).distinct()
+    return unfold(spread(docs.select(text)), [], F.array_distinct(tokens(text)), "term").distinct()
 
 
 def term_frequency(chunks: DataFrame, text: str = "text", key: str = "unique_id") -> DataFrame:
-    """``key, term, tf, doc_len``."""
-    split = chunks.select(key, tokens(text).alias("_t"))
-    each = split.select(key, F.size("_t").alias("doc_len"), F.explode("_t").alias("term"))
+    """``key, term, tf, doc_len``.
+
+    Texts are hashed by key while still whole, which is several times less data
+    than their tokens; counting then needs no exchange of its own.
+    """
+    split = chunks.select(key, text).repartition(key).select(key, tokens(text).alias("_t"))
+    each = unfold(split, [key, F.size("_t").alias("doc_len")], F.col("_t"), "term")
     return each.groupBy(key, "term", "doc_len").agg(F.count("*").alias("tf")).select(
         key, "term", "tf", "doc_len"
     )
@@ -36,13 +41,13 @@ def term_frequency(chunks: DataFrame, text: str = "text", key: str = "unique_id"
 
 def document_frequency(docs: DataFrame, text: str) -> DataFrame:
     """``term, df``: a document counts once per term; repeats vanish before the shuffle."""
-    each = docs.select(F.explode(F.array_distinct(tokens(text))).alias("term"))
+    each = unfold(spread(docs.select(text)), [], F.array_distinct(tokens(text)), "term")
     return each.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def average_length(docs: DataFrame, text: str) -> DataFrame:
     """One row ``n_docs, avgdl``."""
-    return docs.select(F.size(words(text)).alias("n")).agg(
+    return spread(docs.select(text)).select(F.size(words(text)).alias("n")).agg(
         F.count("*").alias("n_docs"), F.avg("n").alias("avgdl")
     )
 
@@ -54,11 +59,13 @@ def term_table(docs: DataFrame, text: str, order: str) -> DataFrame:
     the null group ends up with the document count and the token count.
     ``order`` must be integral, so all buffers stay in the hash aggregate.
     """
-    split = docs.select(F.col(order).alias("doc"), tokens(text).alias("_t"))
+    split = spread(docs.select(order, text), order).select(
+        F.col(order).alias("doc"), tokens(text).alias("_t")
+    )
     marked = split.select(
         "doc",
         F.size("_t").alias("n"),
-        F.posexplode(F.array_append(F.array_distinct("_t"), F.lit(None))).alias("pos", "term"),
+        F.posexplode_outer(F.array_append(F.array_distinct("_t"), F.lit(None))).alias("pos", "term"),
     )
     length = F.when(F.col("term").isNull(), F.col("n").cast("long"))
     return marked.groupBy("term").agg(
@@ -159,12 +166,10 @@ def sparse_weights(
 ) -> DataFrame:
     """``key, term_idx, score`` for every known term of every chunk.
 
-    Chunks are hashed by key once; counting terms needs no further exchange.
     Frequent terms hit the bounded broadcast table.  Only the rest, where no
     term is frequent, is shuffled by term to meet the rest of the vocabulary.
     """
-    placed = chunks.select(key, text).repartition(key)
-    counted = term_frequency(placed, text, key)
+    counted = term_frequency(chunks, text, key)
     lookup = terms.select("term", F.col("term_idx").cast("int").alias("term_idx"), "df", "idf")
     hot = (
         lookup.where(F.length("term") <= HOT_TERM_LENGTH)

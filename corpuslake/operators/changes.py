@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslake.operators.common import keep_last, single
+from corpuslake.operators.common import keep_last, single, unfold
 
 COMPARED = ("url", "last_updated")
 CHANGE_TYPES = ("removed", "modified", "added")
@@ -134,17 +134,18 @@ def to_change_sets(feed: DataFrame, shards: int = 1) -> DataFrame:
 
 def from_change_sets(documents: DataFrame) -> DataFrame:
     """Change-set documents -> rows ``change_type, id, url, last_updated, change_ts``."""
+    empty = F.create_map().cast("map<string,struct<url:string,last_updated:string>>")
 
     def part(kind):
         return F.transform(
-            F.map_entries(F.coalesce(kind, F.create_map().cast("map<string,struct<url:string,last_updated:string>>"))),
+            F.map_entries(F.coalesce(kind, empty)),
             lambda e: F.struct(
                 F.lit(kind).alias("change_type"), e["key"].alias("id"), e["value"].alias("page")
             ),
         )
 
-    rows = F.explode(F.concat(*[part(kind) for kind in CHANGE_TYPES])).alias("c")
-    return documents.select("timestamp", rows).select(
+    rows = F.concat(*[part(kind) for kind in CHANGE_TYPES])
+    return unfold(documents, ["timestamp"], rows, "c").select(
         "c.change_type",
         "c.id",
         "c.page.url",
@@ -169,6 +170,8 @@ def to_keyed_maps(pages: DataFrame, shards: int = 1) -> DataFrame:
 def from_keyed_maps(texts: DataFrame, column: str = "value") -> DataFrame:
     """JSON objects ``{id: {url, last_updated}}`` -> ``id, url, last_updated``."""
     parsed = F.from_json(column, "map<string,struct<url:string,last_updated:string>>")
-    return texts.select(F.explode(parsed).alias("id", "page")).select(
-        "id", "page.url", F.to_date("page.last_updated").alias("last_updated")
+    return unfold(texts, [], F.map_entries(parsed), "e").select(
+        F.col("e.key").alias("id"),
+        "e.value.url",
+        F.to_date("e.value.last_updated").alias("last_updated"),
     )

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpuslake import constants as C
 from corpuslake.functions.splitter import chunk_texts
 from corpuslake.functions.text import chunk_overlap
+from corpuslake.operators.common import spread, unfold
 
 
 def chunk_pages(
@@ -23,16 +24,14 @@ def chunk_pages(
     """
     carried = [c for c in carry if c in pages.columns]
     sized = (
-        pages.where(F.col(text).isNotNull())
-        .select("id", *carried, text, F.explode(F.array(*map(F.lit, sizes))).alias("chunk_size"))
+        spread(pages.select("id", *carried, text), "id")
+        .select("*", F.explode(F.array(*map(F.lit, sizes))).alias("chunk_size"))
         .withColumn(
             "_chunks",
             chunk_texts(F.col(text), F.col("chunk_size"), chunk_overlap("chunk_size"), separators),
         )
     )
-    numbered = sized.select(
-        "id", *carried, "chunk_size", F.posexplode("_chunks").alias("_pos", "text")
-    )
+    numbered = unfold(sized, ["id", *carried, "chunk_size"], F.col("_chunks"), "text", "_pos")
     return numbered.select(
         F.concat_ws("_", "id", F.col("_pos") + 1).alias("unique_id"),
         *carried,

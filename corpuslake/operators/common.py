@@ -30,6 +30,38 @@ def fold_or(tests: list[Column]) -> Column:
     return found
 
 
+def unfold(df: DataFrame, keep: list, array: Column, value: str, pos: str | None = None) -> DataFrame:
+    """One row per non-null array element: kept columns, ``pos`` if named, ``value``.
+
+    The inner ``explode`` makes the optimizer filter on the size of its input,
+    which evaluates a costly array expression a second time; the outer form
+    followed by a null filter does not.
+    """
+    if pos is None:
+        rows = df.select(*keep, F.explode_outer(array).alias(value))
+    else:
+        rows = df.select(*keep, F.posexplode_outer(array).alias(pos, value))
+    return rows.where(F.col(value).isNotNull())
+
+
+# Below this many bytes per core an input is small enough to be dealt out evenly.
+SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Deals a small input out to all cores before CPU-heavy work.
+
+    A small table often is one unsplittable file, hence one task.  The size is
+    Spark's own estimate; a large input already has enough tasks and is returned
+    as it is, so no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    if int(str(estimate)) > cores * SPREAD_BYTES_PER_CORE:
+        return df
+    return df.repartition(cores, *keys)
+
+
 def single(df: DataFrame, column: str) -> Column:
     """Value of a one-row frame as a scalar subquery."""
     return df.select(column).scalar()

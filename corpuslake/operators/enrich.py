@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.html import extract_text
-from corpuslake.operators.common import keep_last
+from corpuslake.operators.common import keep_last, spread
 
 
 def lookup_html(
@@ -20,7 +20,7 @@ def lookup_html(
     columns = ["url", F.col("html").alias("html_content")]
     if latest_by:
         columns.append(latest_by)
-    fetched = crawl.select(*columns)
+    fetched = spread(crawl.select(*columns), "url")
     if drop_missing:
         fetched = fetched.where(F.col("html_content").isNotNull())
     if latest_by:

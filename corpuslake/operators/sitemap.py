@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.text import local_date, strip, url_key
-from corpuslake.operators.common import fold_or, keep_last
+from corpuslake.operators.common import fold_or, keep_last, unfold
 
 
 def parse_entries(
@@ -36,7 +36,7 @@ def parse_entries(
         )
     else:
         raise ValueError(f"mode must be compat or strict, got {mode!r}")
-    return texts.select(*rest, F.posexplode(parts).alias("pos", "entry")).select(
+    return unfold(texts, rest, parts, "entry", "pos").select(
         *rest, "pos", strip("entry.url").alias("url"), strip("entry.lastmod").alias("lastmod")
     )
 

@@ -103,8 +103,7 @@ def load_or_build_bm25(lake: Lake, pages: DataFrame, settings: Settings, refresh
 
 
 def _chunked(pages: DataFrame, settings: Settings) -> DataFrame:
-    with_text = pages.where(F.col("extracted_content").isNotNull())
-    return chunks.chunk_pages(with_text, (settings.chunk_size,)).select(*schemas.CHUNKS.fieldNames())
+    return chunks.chunk_pages(pages, (settings.chunk_size,)).select(*schemas.CHUNKS.fieldNames())
 
 
 # -- initial load ----------------------------------------------------------------

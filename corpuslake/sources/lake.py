@@ -34,6 +34,7 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self.hex_digits = hex_digits
+        self._known = 0, {}
 
     # -- commits: at most (tables x buckets) rows each ------------------------
 
@@ -45,14 +46,20 @@ class Lake:
 
     def _current(self):
         """(number of the last commit, {(table, bucket): version})."""
-        commits = self._commits()
-        if commits is None:
-            return 0, {}
-        last = commits.agg(F.max("commit")).scalar()
-        rows = commits.where(F.col("commit") == last).collect()
-        return rows[0]["commit"], {
-            (r["table"], r["bucket"]): r["version"] for r in rows if r["table"]
-        }
+        number = max((int(n) for n in self._names("commits/commit=*")), default=0)
+        if number != self._known[0]:
+            rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/commit={number}").collect()
+            self._known = number, {
+                (r["table"], r["bucket"]): r["version"] for r in rows if r["table"]
+            }
+        return self._known[0], dict(self._known[1])
+
+    def _names(self, pattern: str) -> list[str]:
+        """Values of the ``name=value`` directories that match and hold data."""
+        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/*.parquet")
+        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
+        parents = {str(s.getPath().getParent().getName()) for s in fs.globStatus(hadoop) or []}
+        return [name.split("=", 1)[1] for name in parents]
 
     def applied(self, batch_id: str) -> bool:
         commits = self._commits()
@@ -106,16 +113,13 @@ class Lake:
         """
         schema, key = TABLES[table]
         version = uuid.uuid4().hex
-        target = f"{self.root}/{table}/version={version}"
+        place = f"{table}/version={version}"
         bucket = F.lit(WHOLE) if key is None else self.bucket_of(key)
         placed = rows.select(*schema.fieldNames(), bucket.alias("bucket"))
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(target)
-        return version, touched, self._written(target)
-
-    def _written(self, target: str) -> list[str]:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{target}/bucket=*")
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        return [s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(hadoop)]
+        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
+            f"{self.root}/{place}"
+        )
+        return version, touched, self._names(f"{place}/bucket=*")
 
     def staged_rows(self, table: str, staged) -> DataFrame:
         """Rows just staged, read back from storage."""
