@@ -436,7 +436,7 @@ def bm25_sink(spark, d):
 def bm25_sparse(spark, d):
     terms, params = _bm25(spark, d)
     rows = chunks.chunk_pages(fx.corpus(spark, d))
-    weights = bm25.sparse_weights(rows, checkpointed(terms), params)
+    weights = bm25.sparse_weights(rows, terms, params)
     return weights.withColumn("score", F.round("score", 6))
 
 
@@ -445,7 +445,7 @@ def bm25_sparse_defaults(spark, d):
     """Statistics without parameters: k1 1.5, b 0.75, avgdl 1."""
     terms, _ = _bm25(spark, d)
     rows = chunks.chunk_pages(fx.corpus(spark, d))
-    weights = bm25.sparse_weights(rows, checkpointed(terms), None)
+    weights = bm25.sparse_weights(rows, terms, None)
     return weights.withColumn("score", F.round("score", 6))
 
 
@@ -454,7 +454,7 @@ def bm25_sparse_vectors(spark, d):
     """Vectors as maps, unpacked again."""
     terms, params = _bm25(spark, d)
     rows = checkpointed(chunks.chunk_pages(fx.corpus(spark, d)).select("unique_id", "text"))
-    vectors = bm25.add_sparse_vectors(rows, checkpointed(terms), params)
+    vectors = bm25.add_sparse_vectors(rows, terms, params)
     return vectors.select(
         "unique_id", F.explode("bm25_sparse_vector").alias("term_idx", "score")
     ).withColumn("score", F.round("score", 6))

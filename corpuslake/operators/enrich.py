@@ -26,7 +26,7 @@ def lookup_html(
     if latest_by:
         wanted = fetched.join(pages.select("url"), "url", "left_semi")
         fetched = keep_last(wanted, "url", [latest_by]).drop(latest_by)
-    joined = pages.join(fetched, "url", "inner" if drop_missing else "left")
+    joined = spread(pages, "url").join(fetched, "url", "inner" if drop_missing else "left")
     return joined.select(*pages.columns, "html_content")
 
 
