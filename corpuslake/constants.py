@@ -29,6 +29,11 @@ BM25_B = 0.75
 BM25_EPSILON = 0.25
 BM25_DEFAULT_AVGDL = 1.0
 
+# Names of stored collections, of document files and of indexes.
+COLLECTION_NAME = "{doc_type}-vectors-{chunk_size}chunksize-{model}-sparse.json"
+DOCUMENT_FILE_PATTERN = r"(sentsplit_)?documents-(\d+)(chunksize|sentences|-)"
+INDEX_NAME = "%s-%s-dim%d-chunk%d"
+
 # Vectors: NaN replacement and the metrics an index may carry.
 NAN_REPLACEMENT = 0.1
 FLOAT32_MAX = 3.4028234663852886e38

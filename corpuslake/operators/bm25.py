@@ -8,10 +8,10 @@ from corpuslake.functions.text import tokens, words
 from corpuslake.operators.common import single, spread, unfold
 from corpuslake.sources.scratch import checkpointed
 
-# Terms joined by broadcast: at most this many, none longer than this, so the
-# broadcast side stays below HOT_TERMS * (HOT_TERM_LENGTH * 4 + 64) bytes = 22 MB.
-# Any other term up to that length has fewer than 1/HOT_TERMS of all postings.
-HOT_TERMS = 20_000
+# Terms joined by broadcast: those with at least 1/HOT_TERMS of all postings.  There
+# can be no more than HOT_TERMS of them, and with the length limit the broadcast side
+# stays below HOT_TERMS * (HOT_TERM_LENGTH * 4 + 64) bytes = 54 MB whatever the corpus.
+HOT_TERMS = 50_000
 HOT_TERM_LENGTH = 256
 
 
@@ -166,17 +166,17 @@ def sparse_weights(
 ) -> DataFrame:
     """``key, term_idx, score`` for every known term of every chunk.
 
-    Frequent terms hit the bounded broadcast table.  Only the rest, where no
-    term is frequent, is shuffled by term to meet the rest of the vocabulary.
+    Frequent terms hit the bounded broadcast table.  Only the rest, where each
+    term has a tiny share of the postings, is shuffled by term to meet the rest
+    of the vocabulary (AQE splits what a new, unknown frequent term may skew).
     """
     counted = term_frequency(chunks, text, key)
     lookup = terms.select("term", F.col("term_idx").cast("int").alias("term_idx"), "df", "idf")
-    hot = (
-        lookup.where(F.length("term") <= HOT_TERM_LENGTH)
-        .orderBy(F.desc("df"), "term")
-        .limit(hot_terms)
-        .select("term", "term_idx", "idf")
+    postings = terms.agg(F.sum("df").alias("n"))
+    is_hot = (F.length("term") <= HOT_TERM_LENGTH) & (
+        F.col("df") * F.lit(hot_terms) >= single(postings, "n")
     )
+    hot = lookup.where(is_hot).select("term", "term_idx", "idf")
     tried = counted.join(F.broadcast(hot), "term", "left")
     found = tried.where(F.col("term_idx").isNotNull())
     rare = tried.where(F.col("term_idx").isNull()).select(key, "term", "tf", "doc_len")

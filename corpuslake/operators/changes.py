@@ -42,7 +42,7 @@ def common_keys(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
 
 
 def missing_keys(old: DataFrame, new: DataFrame, key: str = "id") -> DataFrame:
-    return old.select(key).exceptAll(new.select(key)).distinct()
+    return old.select(key).subtract(new.select(key))
 
 
 def diff(old: DataFrame, new: DataFrame, key: str = "id", compared=COMPARED) -> DataFrame:

@@ -152,7 +152,7 @@ def reduced_records(documents: DataFrame, chunk_size: int, doc_type: str) -> Dat
 
 def collection_name(doc_type: str, chunk_size, model: str) -> str:
     """Name of a stored document collection."""
-    return f"{doc_type}-vectors-{chunk_size}chunksize-{model}-sparse.json"
+    return C.COLLECTION_NAME.format(doc_type=doc_type, chunk_size=chunk_size, model=model)
 
 
 def with_name_columns(files: DataFrame, name: str = "file_name") -> DataFrame:
@@ -170,24 +170,20 @@ def with_name_columns(files: DataFrame, name: str = "file_name") -> DataFrame:
     )
 
 
-# Names of document files: sentence or token documents and their size.
-DOCUMENT_FILE_PATTERN = r"(sentsplit_)?documents-(\d+)(chunksize|sentences|-)"
-
-
 def with_name_class(files: DataFrame, name: str = "file_name") -> DataFrame:
     """Adds ``doc_type`` sentence/token and ``chunk_size``; other names are skipped."""
-    sentence = F.regexp_extract(name, DOCUMENT_FILE_PATTERN, 1) != ""
-    return files.where(F.col(name).rlike(DOCUMENT_FILE_PATTERN)).select(
+    sentence = F.regexp_extract(name, C.DOCUMENT_FILE_PATTERN, 1) != ""
+    return files.where(F.col(name).rlike(C.DOCUMENT_FILE_PATTERN)).select(
         *files.columns,
         F.when(sentence, "sentence").otherwise("token").alias("doc_type"),
-        F.regexp_extract(name, DOCUMENT_FILE_PATTERN, 2).cast("int").alias("chunk_size"),
+        F.regexp_extract(name, C.DOCUMENT_FILE_PATTERN, 2).cast("int").alias("chunk_size"),
     )
 
 
 def index_name(model: Column, doc_type: Column, values: Column, chunk_size: Column) -> Column:
     """Name of the index a vector belongs to."""
     return F.format_string(
-        "%s-%s-dim%d-chunk%d", F.replace(model, F.lit("_"), F.lit("-")), doc_type, F.size(values), chunk_size
+        C.INDEX_NAME, F.replace(model, F.lit("_"), F.lit("-")), doc_type, F.size(values), chunk_size
     )
 
 
