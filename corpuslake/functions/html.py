@@ -106,6 +106,9 @@ class _FirstMatches(HTMLParser):
             if not self.active and all(s in self.text for s in self.best):
                 raise _Finished
 
+    def updatepos(self, i, j):
+        return j  # line numbers are not needed
+
     def handle_data(self, data):
         if self.active:
             self.node.append(data)

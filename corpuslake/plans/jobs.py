@@ -4,6 +4,7 @@ Expensive results (extracted pages, chunks, documents) are written once and
 read back, so no plan runs the HTML parser, the splitter or the model twice.
 """
 
+import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
@@ -242,8 +243,9 @@ def apply_changes(
 
 
 def batch_id_path(batch_id: str) -> str:
-    """A batch id as one path component."""
-    return "".join(ch if ch.isalnum() or ch in "-_." else "-" for ch in batch_id)
+    """A batch id as one short path component."""
+    plain = "".join(ch if ch.isalnum() or ch in "-_." else "-" for ch in batch_id)
+    return f"{plain[-60:]}-{hashlib.md5(batch_id.encode('utf-8')).hexdigest()[:12]}"
 
 
 def run_report(feed: DataFrame, deleted: DataFrame, new_docs: DataFrame, batch_id: str) -> DataFrame:
