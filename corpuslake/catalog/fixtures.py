@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake.functions.text import collapse_whitespace, url_key
+from corpuslake.operators.common import spread
 
 TITLES = ("h1",)
 BODIES = ("article",)
@@ -81,7 +82,8 @@ def page_list(spark, sf_dir) -> DataFrame:
 
 def corpus(spark, sf_dir) -> DataFrame:
     """``id, url, last_updated, extracted_content, doc_id``: documents as enriched pages."""
-    return table(spark, sf_dir, "documents").select(
+    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    return docs.select(
         F.md5(F.col("doc_id").cast("string")).alias("id"),
         F.col("source").alias("url"),
         F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 28).cast("int")).alias(
