@@ -133,6 +133,22 @@ def test_stream_of_two_change_sets_with_restart_equals_batch(spark, lake, tmp_pa
     assert content(lake, "vectors") == content(other, "vectors")
 
 
+def test_stream_with_archive(spark, lake, tmp_path):
+    old, old_crawl = make(spark, OLD)
+    new, crawl = make(spark, NEW)
+    jobs.initial_load(lake, old, old_crawl, SETTINGS)
+    inbox, checkpoint, archive = (str(tmp_path / n) for n in ("inbox", "checkpoint", "archive"))
+    writers.write_change_sets(changes.changes(old, new, "2024-02-01 00:00:00"), inbox)
+    for _ in range(2):
+        started = start_change_feed(spark, inbox, checkpoint, lake, crawl, SETTINGS, archive)
+        started.awaitTermination()
+    expected = new.join(crawl, "url", "left_semi")
+    assert sorted(r["id"] for r in lake.read("pages").collect()) == sorted(
+        r["id"] for r in expected.collect()
+    )
+    assert lake._current()[0] == 2
+
+
 def test_snapshot_job_without_predecessor(spark, tmp_path):
     text = "<url><loc>https://h/en/a</loc><lastmod>2024-01-01T00:00:00Z</lastmod></url>"
     texts = spark.createDataFrame([("s", text)], "source string, value string")
