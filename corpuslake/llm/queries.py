@@ -3,7 +3,15 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslake.llm import bpe_stream, language_filters, mixing, pseudonyms, simhash_groups
+from corpuslake.llm import (
+    bpe_stream,
+    embedding_groups,
+    fingerprints,
+    language_filters,
+    mixing,
+    pseudonyms,
+    simhash_groups,
+)
 from corpuslake.llm.vocabularies import byte_bpe
 from corpuslake.llm.words import held_out
 
@@ -20,6 +28,21 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@_query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    report = fingerprints.fingerprint_report(_table(spark, sf_dir, "documents"))
+    return report.select(
+        "doc_id",
+        "n_chars",
+        "edited_sha256",
+        fingerprints.fingerprint_text(F.col("fp_a"), F.col("fp_b")).alias("fingerprint"),
+        fingerprints.fingerprint_text(F.col("edited_a"), F.col("edited_b")).alias("edited_fingerprint"),
+        "near_edited",
+        "near_next",
+        "n_near",
+    )
+
+
 @_query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups.near_groups(_table(spark, sf_dir, "documents"))
@@ -51,6 +74,11 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op9_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_groups.embedding_groups(_table(spark, sf_dir, "embeddings"))
+
+
 @_query
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.plan_mix(_table(spark, sf_dir, "documents"))
