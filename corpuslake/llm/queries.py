@@ -8,9 +8,11 @@ from corpuslake.llm import (
     embedding_groups,
     fingerprints,
     language_filters,
+    main_text,
     mixing,
     pseudonyms,
     simhash_groups,
+    toxicity,
 )
 from corpuslake.llm.vocabularies import byte_bpe
 from corpuslake.llm.words import held_out
@@ -43,6 +45,11 @@ def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@_query
+def op2_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text.extract(_table(spark, sf_dir, "pages"))
+
+
 @_query
 def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
     groups = simhash_groups.near_groups(_table(spark, sf_dir, "documents"))
@@ -60,6 +67,19 @@ def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "text", F.size("pii_spans").cast("long").alias("n_replaced"), *counts)
 
 
+@_query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    found = toxicity.scored(docs, toxicity.fit(docs, _table(spark, sf_dir, "labels")))
+    return found.select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.size("offending").cast("long").alias("n_offending"),
+    )
+
+
 @_query
 def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_stream.digests(_table(spark, sf_dir, "documents"), byte_bpe())
