@@ -165,11 +165,8 @@ def fit(
     return Filters.build(languages, codes[common], grams[common], slots)
 
 
-def identify(docs: DataFrame, filters: Filters) -> DataFrame:
-    """``docs`` with ``lang_pred`` and ``lang_score``; the filters (size fixed by their parameters) are broadcast.
-
-    Only the text is looked at.  Null or letterless text gets ``und`` and 0.
-    """
+def _predictor(docs: DataFrame, filters: Filters):
+    """Column function from text to language and score; the filters (size fixed by their parameters) are broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(filters)
 
     @F.pandas_udf("struct<lang_pred: string, lang_score: double>")
@@ -179,16 +176,22 @@ def identify(docs: DataFrame, filters: Filters) -> DataFrame:
         model = shared.value
         return pd.DataFrame([model.predict(text) for text in texts], columns=["lang_pred", "lang_score"])
 
-    found = docs.withColumn("_language", predict.asNondeterministic()(F.col("text")))
-    return found.select(*[found[c] for c in docs.columns], "_language.lang_pred", "_language.lang_score")
+    return predict.asNondeterministic()
+
+
+def identify(docs: DataFrame, filters: Filters) -> DataFrame:
+    """``(doc_id, lang_pred, lang_score)`` per row of ``docs``; only the text is looked at.
+
+    Null or letterless text gets ``und`` and 0.
+    """
+    found = docs.select("doc_id", _predictor(docs, filters)(F.col("text")).alias("found"))
+    return found.select("doc_id", "found.lang_pred", "found.lang_score")
 
 
 def known_language(docs: DataFrame, filters: Filters, least: float) -> DataFrame:
-    """The rows of ``docs`` whose language is known with a score of at least ``least``."""
-    taken = set(docs.columns)
-    if {"lang_pred", "lang_score", "_language"} & taken:
-        renamed = {c: f"_own{k}" for k, c in enumerate(docs.columns) if c in ("lang_pred", "lang_score", "_language")}
-        back = {v: k for k, v in renamed.items()}
-        return known_language(docs.withColumnsRenamed(renamed), filters, least).withColumnsRenamed(back)
-    good = (F.col("lang_pred") != UNKNOWN) & (F.col("lang_score") >= least)
-    return identify(docs, filters).where(good).select(*docs.columns)
+    """The rows of ``docs``, all columns, whose language is known with a score of at least ``least``."""
+    # The row travels as one value, so no column of it can clash with those used here.
+    row = F.struct(*[docs[c] for c in docs.columns])
+    found = docs.select(row.alias("_row"), _predictor(docs, filters)(docs["text"]).alias("_found"))
+    good = (F.col("_found.lang_pred") != UNKNOWN) & (F.col("_found.lang_score") >= least)
+    return found.where(good).select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])

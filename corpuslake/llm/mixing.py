@@ -144,7 +144,8 @@ def draws(sources: DataFrame, block: int = BLOCK) -> DataFrame:
     chunks = _with_blocks(sources, block).select(
         "*", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(slots - 1) div {_CHUNK}"))).alias("chunk")
     )
-    chunks = chunks.where("slots > 0").repartition("sid", "chunk")
+    parts = int(sources.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    chunks = chunks.where("slots > 0").repartition(parts, "sid", "chunk")
     upto = F.least(F.col("slots"), (F.col("chunk") + 1) * _CHUNK) - 1
     slots = chunks.select("*", F.explode(F.sequence(F.col("chunk") * _CHUNK, upto)).alias("k"))
     passed = F.expr("k div blocks")
@@ -245,32 +246,30 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         & F.col("doc_id").eqNullSafe(F.col("_kdoc_id"))
         & F.col("source").eqNullSafe(F.col("_ksource")),
     ).select("_kdoc_id", "_ksource", "_ksize", F.col("rank").alias("_krank"), "_spans")
-    own = docs.withColumn("_size", word_count(F.col("text")))
-    order = Window.partitionBy("doc_id", "source", "_size").orderBy(F.xxhash64("text"))
+    # The row travels as one value, so no column of it can clash with those used here.
+    row = F.struct(*[docs[c] for c in docs.columns])
+    own = docs.select(row.alias("_row"), word_count(F.col("text")).alias("_size"))
+    order = Window.partitionBy("_row.doc_id", "_row.source", "_size").orderBy(F.xxhash64("_row.text"))
     own = own.withColumn("_rank", F.row_number().over(order))
     found = own.join(
         spans,
-        own["doc_id"].eqNullSafe(spans["_kdoc_id"])
-        & own["source"].eqNullSafe(spans["_ksource"])
+        own["_row"]["doc_id"].eqNullSafe(spans["_kdoc_id"])
+        & own["_row"]["source"].eqNullSafe(spans["_ksource"])
         & (own["_size"] == spans["_ksize"])
         & (own["_rank"] == spans["_krank"]),
     )
-    found = found.withColumn("_words", F.regexp_extract_all("text", F.lit(WORD_PATTERN), F.lit(0)))
-    copies = found.select("*", F.explode(F.array(*[F.lit(c) for c in range(1, MOST + 1)])).alias("_copy"))
+    words = F.regexp_extract_all(F.col("_row.text"), F.lit(WORD_PATTERN), F.lit(0))
+    copies = found.select(
+        "_row", "_spans", words.alias("_words"), F.explode(F.array(*[F.lit(c) for c in range(1, MOST + 1)])).alias("_copy")
+    )
     taken = F.expr(
         """array_join(flatten(transform(_spans, s -> slice(_words, cast(s.inside as int) + 1,
             cast(case when s.times >= _copy then s.length when s.times = _copy - 1 then s.part else 0 end as int)
         ))), ' ')"""
     )
-    copies = copies.withColumn("_taken", taken).where("_taken <> ''")
+    copies = copies.select("_row", taken.alias("_taken")).where("_taken <> ''")
     kind = dict(docs.dtypes)
+    new = {"text": F.col("_taken"), "n_chars": F.length("_taken")}
     return copies.select(
-        *[
-            F.col("_taken").alias("text")
-            if c == "text"
-            else F.length("_taken").cast(kind[c]).alias(c)
-            if c == "n_chars"
-            else F.col(c)
-            for c in docs.columns
-        ]
+        *[new[c].cast(kind[c]).alias(c) if c in new else F.col("_row").getField(c).alias(c) for c in docs.columns]
     )

@@ -250,14 +250,12 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, spans: str = "pii_spans") ->
             {"text": [t for t, _ in rows], "spans": [[{"start": a, "stop": b, "kind": k} for a, b, k in s] for _, s in rows]}
         )
 
-    found = docs.withColumn("_pseudonyms", run.asNondeterministic()(F.col("text")))
-    columns = []
-    for name in docs.columns:
-        if name == "text":
-            columns.append(F.col("_pseudonyms.text").alias("text"))
-        elif name == "n_chars":
-            length = F.length("_pseudonyms.text").cast(dict(docs.dtypes)["n_chars"])
-            columns.append(F.when(F.col("n_chars").isNull(), F.lit(None)).otherwise(length).alias("n_chars"))
-        else:
-            columns.append(found[name])
-    return found.select(*columns, F.col("_pseudonyms.spans").alias(spans))
+    # The row travels as one value, so no column of it can clash with those used here.
+    row = F.struct(*[docs[c] for c in docs.columns])
+    found = docs.select(row.alias("_row"), run.asNondeterministic()(docs["text"]).alias("_new"))
+    own = {c: F.col("_row").getField(c) for c in docs.columns}
+    if "n_chars" in own:
+        length = F.length("_new.text").cast(dict(docs.dtypes)["n_chars"])
+        own["n_chars"] = F.when(own["n_chars"].isNotNull(), length)
+    own["text"] = F.col("_new.text")
+    return found.select(*[own[c].alias(c) for c in docs.columns], F.col("_new.spans").alias(spans))

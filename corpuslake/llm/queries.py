@@ -87,7 +87,7 @@ def op4_simhash_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_pseudonyms(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pseudonyms.pseudonymise(_table(spark, sf_dir, "documents"))
+    found = pseudonyms.pseudonymise(_table(spark, sf_dir, "documents").select("doc_id", "text"))
     kinds = F.transform("pii_spans", lambda span: span["kind"])
     counts = [
         (F.size("pii_spans") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
@@ -117,7 +117,7 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
-    found = language_filters.identify(docs.select("doc_id", "text"), language_filters.fit(docs))
+    found = language_filters.identify(docs, language_filters.fit(docs))
     return found.select(
         "doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", F.col("lang_score").alias("score")
     )

@@ -145,10 +145,14 @@ def one_of_each_group(docs: DataFrame, radius: int = RADIUS) -> DataFrame:
         .select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash"))
         .distinct()
     )
-    rows = docs.withColumn("_text_hash", F.xxhash64("text"))
-    same = rows["doc_id"].cast("long").eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_hash"])
-    found = rows.join(kept, same, "left_semi").dropDuplicates(["doc_id", "_text_hash"])
-    return found.select(*[found[c] for c in docs.columns])
+    # The row travels as one value, so no column of it can clash with those used here.
+    row = F.struct(*[docs[c] for c in docs.columns])
+    rows = docs.select(
+        row.alias("_row"), docs["doc_id"].cast("long").alias("_doc_id"), F.xxhash64(docs["text"]).alias("_text_hash")
+    )
+    same = rows["_doc_id"].eqNullSafe(kept["_id"]) & (rows["_text_hash"] == kept["_hash"])
+    found = rows.join(kept, same, "left_semi").dropDuplicates(["_doc_id", "_text_hash"])
+    return found.select(*[F.col("_row").getField(c).alias(c) for c in docs.columns])
 
 
 def fingerprint_text(fp: Column) -> Column:
