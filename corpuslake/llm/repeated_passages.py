@@ -385,7 +385,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     often = reports.where("rid is null and shared is not null").where(F.col("n") > least).select("shared").toArrow()
     hot = np.unique(_unpack(b"".join(often.column("shared").to_pylist())))
     lists = reports.where("rid is not null").groupBy("rid").agg(F.collect_list("shared").alias("lists"))
-    told = rows.join(lists, "rid").select("id", "hash", "rid", "text", "lists")
+    # The same columns as in the last join, so that the texts are shuffled once for both.
+    told = rows.join(lists, "rid").select("id", "hash", "rid", "doc_id", "text", "lists")
     windows = _found(_stretches(told, hot, shards), shards)
     windows = windows.groupBy("rid").agg(F.collect_list(F.struct("id", "hash", "starts")).alias("windows"))
 
@@ -406,5 +407,5 @@ def without_repeats(docs: DataFrame) -> DataFrame:
             )
 
     kind = dict(docs.dtypes)["doc_id"]
-    whole = rows.join(windows, "rid", "left").select("id", "hash", "doc_id", "text", "windows")
+    whole = rows.join(windows, "rid", "left").select("id", "hash", "rid", "doc_id", "text", "windows")
     return whole.mapInArrow(run, f"doc_id {kind}, n_words long, n_removed long, kept string")
