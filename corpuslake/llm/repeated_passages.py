@@ -378,7 +378,9 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _keyed(docs)
-    reports = checkpointed(_reports(_sightings(rows, shards), shards))
+    # Anchors are small: fewer shards for them, so that a document is reported to in fewer rows.
+    anchor_shards = max(12, shards // 3)
+    reports = checkpointed(_reports(_sightings(rows, anchor_shards), anchor_shards))
     total = reports.where("rid is null and shared is null").agg(F.sum("n")).first()[0] or 0
     least = max(8, total // HOT_SHARE)
     # At most HOT_SHARE anchors can have so many of all sightings.
