@@ -7,13 +7,14 @@ Readers see the last commit; a run that dies before it leaves no trace.  One
 writer at a time is assumed.
 """
 
+import hashlib
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake import schemas
-from corpuslake.sources.readers import empty, path_exists
+from corpuslake.sources.readers import empty
 
 # table -> (schema, key column that starts with the page id, or None: one bucket)
 TABLES = {
@@ -29,41 +30,52 @@ WHOLE = "all"
 _COMMIT = "table string, bucket string, version string, batch_id string"
 
 
+def _short(batch_id: str) -> str:
+    return hashlib.md5(batch_id.encode("utf-8")).hexdigest()
+
+
 class Lake:
+    """Tables below ``root``.  ``hex_digits`` is the bucket width of a new lake; a lake keeps the one it began with."""
+
     def __init__(self, spark: SparkSession, root: str, hex_digits: int = 2):
         self.spark = spark
         self.root = root.rstrip("/")
-        self.hex_digits = hex_digits
+        self._width = hex_digits
         self._known = 0, {}
 
-    # -- commits: at most (tables x buckets) rows each ------------------------
+    @property
+    def hex_digits(self) -> int:
+        self._current()
+        return self._width
 
-    def _commits(self) -> DataFrame | None:
-        path = f"{self.root}/commits"
-        if not path_exists(self.spark, f"{path}/commit=*/*.parquet"):
-            return None
-        return self.spark.read.schema(_COMMIT + ", commit int").parquet(path)
+    # -- commits: at most (tables x buckets) rows each ------------------------
 
     def _current(self):
         """(number of the last commit, {(table, bucket): version})."""
-        number = max((int(n) for n in self._names("commits/commit=*")), default=0)
+        number = max((int(n) for n in self._names("commits/commit=*/batch=*", 1)), default=0)
         if number != self._known[0]:
-            rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/commit={number}").collect()
+            rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/commit={number}/*").collect()
             self._known = number, {
                 (r["table"], r["bucket"]): r["version"] for r in rows if r["table"]
             }
+            self._width = next(int(r["version"]) for r in rows if not r["table"])
         return self._known[0], dict(self._known[1])
 
-    def _names(self, pattern: str) -> list[str]:
-        """Values of the ``name=value`` directories that match and hold data."""
+    def _names(self, pattern: str, up: int = 0) -> list[str]:
+        """Values of the ``name=value`` directories that match and hold data, or of those ``up`` levels above."""
         hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/*.parquet")
         fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        parents = {str(s.getPath().getParent().getName()) for s in fs.globStatus(hadoop) or []}
-        return [name.split("=", 1)[1] for name in parents]
+        found = set()
+        for status in fs.globStatus(hadoop) or []:
+            place = status.getPath().getParent()
+            for _ in range(up):
+                place = place.getParent()
+            found.add(str(place.getName()))
+        return [name.split("=", 1)[1] for name in found]
 
     def applied(self, batch_id: str) -> bool:
-        commits = self._commits()
-        return commits is not None and not commits.where(F.col("batch_id") == batch_id).isEmpty()
+        """Whether a batch was committed: its name is part of its commit's path, so no commit is read."""
+        return bool(self._names(f"commits/commit=*/batch={_short(batch_id)}"))
 
     def commit(self, staged: dict, batch_id: str) -> int:
         """Makes staged buckets current: ``{table: (version, touched, written)}``."""
@@ -73,8 +85,8 @@ class Lake:
                 del current[key]
             current.update({(table, bucket): version for bucket in written})
         rows = [(t, b, v, batch_id) for (t, b), v in current.items()]
-        rows.append((None, None, None, batch_id))
-        target = f"{self.root}/commits/commit={number + 1}"
+        rows.append((None, None, str(self._width), batch_id))
+        target = f"{self.root}/commits/commit={number + 1}/batch={_short(batch_id)}"
         self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.parquet(target)
         return number + 1
 
@@ -116,7 +128,9 @@ class Lake:
         place = f"{table}/version={version}"
         bucket = F.lit(WHOLE) if key is None else self.bucket_of(key)
         placed = rows.select(*schema.fieldNames(), bucket.alias("bucket"))
-        placed.hint("rebalance", "bucket").write.partitionBy("bucket").parquet(
+        if key is not None:
+            placed = placed.hint("rebalance", "bucket")
+        placed.write.partitionBy("bucket").parquet(
             f"{self.root}/{place}"
         )
         return version, touched, self._names(f"{place}/bucket=*")

@@ -35,11 +35,15 @@ def write_keyed_maps(pages: DataFrame, path: str) -> None:
     to_keyed_maps(pages, shards_for(pages.count())).write.text(path)
 
 
-def write_change_sets(feed: DataFrame, path: str) -> int:
-    """Change-set JSON documents; nothing is written for an empty feed.  Returns the row count."""
+def write_change_sets(feed: DataFrame, path: str, per_document: int = ENTRIES_PER_FILE) -> int:
+    """Change-set JSON documents, one per file; nothing is written for an empty feed.  Returns the row count.
+
+    The readers take a file as one document, so that pretty-printed ones work too.
+    """
     rows = feed.count()
     if rows:
-        to_change_sets(feed, shards_for(rows)).write.json(path, mode="append")
+        sets = to_change_sets(feed, shards_for(rows, per_document))
+        sets.write.option("maxRecordsPerFile", 1).json(path, mode="append")
     return rows
 
 
