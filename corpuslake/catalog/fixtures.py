@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake.functions.text import collapse_whitespace, url_key
-from corpuslake.operators.common import spread
+from corpuslake.operators.common import hashed
 
 TITLES = ("h1",)
 BODIES = ("article",)
@@ -82,7 +82,7 @@ def page_list(spark, sf_dir) -> DataFrame:
 
 def corpus(spark, sf_dir) -> DataFrame:
     """``id, url, last_updated, extracted_content, doc_id``: documents as enriched pages."""
-    docs = spread(table(spark, sf_dir, "documents"), "doc_id")
+    docs = hashed(table(spark, sf_dir, "documents"), "doc_id")
     return docs.select(
         F.md5(F.col("doc_id").cast("string")).alias("id"),
         F.col("source").alias("url"),
@@ -146,7 +146,7 @@ def with_broken_vectors(rows: DataFrame) -> DataFrame:
 
 
 def merge_old(spark, sf_dir) -> DataFrame:
-    return table(spark, sf_dir, "documents").where("doc_id % 3 <> 0").select("doc_id", "lang", "source")
+    return table(spark, sf_dir, "documents").where("doc_id % 6 <> 0").select("doc_id", "lang", "source")
 
 
 def merge_new(spark, sf_dir) -> DataFrame:

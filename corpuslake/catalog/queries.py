@@ -199,6 +199,16 @@ def change_set_files(spark, d):
     return changes.from_change_sets(readers.read_change_sets(spark, path))
 
 
+@query
+def change_set_many_files(spark, d):
+    """Three times of change and few entries to a document: many documents, none lost."""
+    path = scratch_path(spark, "changes")
+    later = F.make_dt_interval((F.length("url") % 3).cast("int"))
+    feed = _feed(spark, d).withColumn("change_ts", F.col("change_ts") + later)
+    writers.write_change_sets(checkpointed(feed), path, per_document=20)
+    return changes.from_change_sets(readers.read_change_sets(spark, path))
+
+
 @query
 def change_set_json(spark, d):
     docs = changes.to_change_sets(_feed(spark, d), shards=16)
@@ -615,7 +625,9 @@ def reduced_records(spark, d):
 
 @query
 def filename_columns(spark, d):
-    names = fx.file_names(spark, d).where(F.col("file_name").contains("-vectors-"))
+    size = F.col("n_chars").cast("string")
+    name = F.concat("lang", F.lit("-vectors-"), size, F.lit(f"chunksize-{fx.MODEL}-sparse.json"))
+    names = fx.table(spark, d, "documents").select("doc_id", name.alias("file_name"))
     return documents.with_name_columns(names)
 
 
@@ -814,20 +826,20 @@ def delete_vectors(spark, d):
 
 def _loaded(spark, d, version=1):
     lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
-    jobs.initial_load(lake, fx.snapshot(spark, d, version), fx.crawl(spark, d), SETTINGS)
+    jobs.initial_load(lake, fx.snapshot(spark, d, version), fx.crawl(spark, d), SETTINGS, batch_id="initial")
     return lake
 
 
 def _updated(spark, d):
     lake = _loaded(spark, d)
-    report = jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS)
+    report = jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS, batch_id="update")
     return lake, report
 
 
 @query
 def initial_load(spark, d):
     """Vectors after a first load."""
-    lake = _loaded(spark, d)
+    lake = _loaded(spark, d, 0)
     return lake.read("vectors").select(
         "id", "metadata.general_id", "metadata.text", "metadata.project"
     )
@@ -893,6 +905,32 @@ def publish_new_vectors(spark, d):
     return lake.read("vectors").select("id", "metadata.project", "metadata.text")
 
 
+@query
+def load_repeated_fetches(spark, d):
+    """A crawl that holds every page three times still gives one page a url: the latest fetch."""
+    crawl = fx.crawl(spark, d).withColumn("fetched_at", F.lit(2))
+    older = crawl.select("url", F.lit("<h1>old</h1>").alias("html"), F.lit(1).alias("fetched_at"))
+    lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
+    jobs.initial_load(
+        lake, fx.snapshot(spark, d, 0), crawl.union(older).union(crawl), SETTINGS, batch_id="initial"
+    )
+    return lake.read("pages").select("id", "extracted_content")
+
+
+@query
+def publish_two_sizes(spark, d):
+    """Collections of two chunk sizes stay side by side; publishing one again changes nothing of the other."""
+    folder, again = scratch_path(spark, "collections"), scratch_path(spark, "collections")
+    docs = checkpointed(_documents(spark, d))
+    for size in (128, 256):
+        writers.write_collection(docs, folder, fx.MODEL, size)
+    writers.write_collection(docs.union(docs), again, fx.MODEL, 128)
+    lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
+    jobs.publish_folder(lake, folder, fx.MODEL, fx.PROJECT, "one")
+    jobs.publish_folder(lake, again, fx.MODEL, fx.PROJECT, "two")
+    return lake.read("vectors").select("id", "metadata.project", "metadata.chunk_size")
+
+
 @query
 def publish_folder(spark, d):
     folder = scratch_path(spark, "collections")

@@ -71,4 +71,5 @@ def embed_text(text: Column, load_model: Callable[[], object], batch_size: int =
                 vectors.extend(_batch(method, rows[start : start + batch_size]))
             yield pa.array(vectors, pa.list_(pa.float32()))
 
-    return embed(text)
+    # Non-deterministic to the optimizer: a filter on the result must not run the model again.
+    return embed.asNondeterministic()(text)

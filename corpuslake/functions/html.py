@@ -169,4 +169,5 @@ def extract_text(html: Column, titles=C.TITLE_SELECTORS, bodies=C.BODY_SELECTORS
             names=["extracted_title", "extracted_content"],
         )
 
-    return extract(html)
+    # Non-deterministic to the optimizer: a filter on the result must not parse the page again.
+    return extract.asNondeterministic()(html)

@@ -63,11 +63,6 @@ def chunk_overlap(size) -> Column:
     )
 
 
-def overlap_for(size: int) -> int:
-    """The same rule for a plain number."""
-    return C.SMALL_CHUNK_OVERLAP if size <= C.SMALL_CHUNK_LIMIT else C.LARGE_CHUNK_OVERLAP
-
-
 def parent_id(unique_id) -> Column:
     """Page id inside a chunk id ``<page id>_<ordinal>``."""
     return F.substring_index(unique_id, "_", 1)

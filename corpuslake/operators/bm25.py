@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.text import tokens, words
-from corpuslake.operators.common import single, spread, unfold
+from corpuslake.operators.common import hashed, single, unfold
 from corpuslake.sources.scratch import checkpointed
 
 # Terms joined by broadcast: those with at least 1/HOT_TERMS of all postings.  There
@@ -17,13 +17,12 @@ HOT_TERM_LENGTH = 256
 
 def tokenize(docs: DataFrame, text: str, *keys: str) -> DataFrame:
     """One row per token: keys, ``pos`` (0-based), ``term``."""
-    split = spread(docs.select(*keys, text), *keys)
-    return unfold(split, list(keys), tokens(text), "term", "pos")
+    return unfold(docs.select(*keys, text), list(keys), tokens(text), "term", "pos")
 
 
 def vocabulary(docs: DataFrame, text: str) -> DataFrame:
     """Distinct lower-cased tokens."""
-    return unfold(spread(docs.select(text)), [], F.array_distinct(tokens(text)), "term").distinct()
+    return unfold(docs.select(text), [], F.array_distinct(tokens(text)), "term").distinct()
 
 
 def term_frequency(chunks: DataFrame, text: str = "text", key: str = "unique_id") -> DataFrame:
@@ -32,7 +31,7 @@ def term_frequency(chunks: DataFrame, text: str = "text", key: str = "unique_id"
     Texts are hashed by key while still whole, which is several times less data
     than their tokens; counting then needs no exchange of its own.
     """
-    split = chunks.select(key, text).repartition(key).select(key, tokens(text).alias("_t"))
+    split = hashed(chunks.select(key, text), key).select(key, tokens(text).alias("_t"))
     each = unfold(split, [key, F.size("_t").alias("doc_len")], F.col("_t"), "term")
     return each.groupBy(key, "term", "doc_len").agg(F.count("*").alias("tf")).select(
         key, "term", "tf", "doc_len"
@@ -41,13 +40,13 @@ def term_frequency(chunks: DataFrame, text: str = "text", key: str = "unique_id"
 
 def document_frequency(docs: DataFrame, text: str) -> DataFrame:
     """``term, df``: a document counts once per term; repeats vanish before the shuffle."""
-    each = unfold(spread(docs.select(text)), [], F.array_distinct(tokens(text)), "term")
+    each = unfold(docs.select(text), [], F.array_distinct(tokens(text)), "term")
     return each.groupBy("term").agg(F.count("*").alias("df"))
 
 
 def average_length(docs: DataFrame, text: str) -> DataFrame:
     """One row ``n_docs, avgdl``."""
-    return spread(docs.select(text)).select(F.size(words(text)).alias("n")).agg(
+    return docs.select(F.size(words(text)).alias("n")).agg(
         F.count("*").alias("n_docs"), F.avg("n").alias("avgdl")
     )
 
@@ -59,7 +58,7 @@ def term_table(docs: DataFrame, text: str, order: str) -> DataFrame:
     the null group ends up with the document count and the token count.
     ``order`` must be integral, so all buffers stay in the hash aggregate.
     """
-    split = spread(docs.select(order, text), order).select(
+    split = docs.select(
         F.col(order).alias("doc"), tokens(text).alias("_t")
     )
     marked = split.select(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from corpuslake import constants as C
 from corpuslake.functions.splitter import chunk_texts
 from corpuslake.functions.text import chunk_overlap
-from corpuslake.operators.common import spread, unfold
+from corpuslake.operators.common import unfold
 
 
 def chunk_pages(
@@ -24,7 +24,7 @@ def chunk_pages(
     """
     carried = [c for c in carry if c in pages.columns]
     sized = (
-        spread(pages.select("id", *carried, text), "id")
+        pages.select("id", *carried, text)
         .select("*", F.explode(F.array(*map(F.lit, sizes))).alias("chunk_size"))
         .withColumn(
             "_chunks",

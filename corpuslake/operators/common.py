@@ -44,22 +44,9 @@ def unfold(df: DataFrame, keep: list, array: Column, value: str, pos: str | None
     return rows.where(F.col(value).isNotNull())
 
 
-# Below this many bytes per core an input is small enough to be dealt out evenly.
-SPREAD_BYTES_PER_CORE = 16 * 1024 * 1024
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Deals a small input out to all cores before CPU-heavy work.
-
-    A small table often is one unsplittable file, hence one task.  The size is
-    Spark's own estimate; a large input already has enough tasks and is returned
-    as it is, so no shuffle is added at scale.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if int(str(estimate)) > cores * SPREAD_BYTES_PER_CORE:
-        return df
-    return df.repartition(cores, *keys)
+def hashed(df: DataFrame, *keys: str) -> DataFrame:
+    """Whole rows dealt to all shuffle partitions by key, so that counting below a key needs no exchange of its own."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
 
 
 def single(df: DataFrame, column: str) -> Column:

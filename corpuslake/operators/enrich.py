@@ -5,7 +5,6 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.html import extract_text
-from corpuslake.operators.common import keep_last, spread
 
 
 def lookup_html(
@@ -13,20 +12,23 @@ def lookup_html(
 ) -> DataFrame:
     """Adds ``html_content`` from a crawl snapshot ``(url, html)``; null if absent.
 
-    ``drop_missing`` (update runs) joins inner, which lets a small page list be
-    the hashed side instead of shuffling the crawl.  ``latest_by`` names a
-    crawl column that picks one of several fetches of a url.
+    A url fetched several times gives one page: the fetch that is last by
+    ``latest_by`` (``fetched_at`` where the crawl has it), then one with html, then the
+    one whose html has the greatest hash.  The choice is made on these narrow columns;
+    the html itself is only joined.  ``drop_missing`` (update runs) joins inner, which
+    lets a small page list be the hashed side instead of shuffling the crawl.
     """
-    columns = ["url", F.col("html").alias("html_content")]
-    if latest_by:
-        columns.append(latest_by)
-    fetched = spread(crawl.select(*columns), "url")
+    order = latest_by or ("fetched_at" if "fetched_at" in crawl.columns else None)
+    rank = [F.col(order).alias("at")] if order else []
+    rank += [F.col("html").isNotNull().alias("some"), F.xxhash64("html").alias("mark")]
+    fetched = crawl.select("url", F.col("html").alias("html_content"), F.struct(*rank).alias("_fetch"))
     if drop_missing:
         fetched = fetched.where(F.col("html_content").isNotNull())
-    if latest_by:
-        wanted = fetched.join(pages.select("url"), "url", "left_semi")
-        fetched = keep_last(wanted, "url", [latest_by]).drop(latest_by)
-    joined = spread(pages, "url").join(fetched, "url", "inner" if drop_missing else "left")
+    fetched = fetched.join(pages.select("url"), "url", "left_semi")
+    last = fetched.groupBy("url").agg(F.max("_fetch").alias("_last"))
+    one = fetched.join(last, "url").where(F.col("_fetch").eqNullSafe(F.col("_last")))
+    one = one.select("url", "html_content").dropDuplicates(["url"])
+    joined = pages.join(one, "url", "inner" if drop_missing else "left")
     return joined.select(*pages.columns, "html_content")
 
 

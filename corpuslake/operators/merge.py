@@ -1,6 +1,6 @@
 """Keyed upserts and deletes as joins."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslake.functions.text import parent_id
@@ -32,6 +32,35 @@ def upsert_replace(new: DataFrame, old: DataFrame, key: str = "unique_id", order
     return old.join(last.select(key), key, "left_anti").unionByName(last)
 
 
+def index_of(values: str = "values", metadata: str = "metadata") -> Column:
+    """What tells apart the indexes a vector can belong to: type, dimension and chunk size."""
+    return F.struct(F.col(f"{metadata}.doc_type"), F.size(values), F.col(f"{metadata}.chunk_size"))
+
+
+def upsert_vectors(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Replace by index and id, so that collections of several chunk sizes stay side by side.
+
+    Of several new rows of one id in an index the last stays: by date, then by the hash
+    of text and vector; equal rows count once.
+    """
+    rank = F.struct(
+        F.col("metadata.date").alias("at"), F.xxhash64("metadata.text", "values").alias("mark")
+    )
+    keyed = new.select("*", index_of().alias("_index"), rank.alias("_rank"))
+    last = keyed.groupBy("id", "_index").agg(F.max("_rank").alias("_last"))
+    one = keyed.join(last, ["id", "_index"]).where(F.col("_rank").eqNullSafe(F.col("_last")))
+    one = one.dropDuplicates(["id", "_index"])
+    kept = old.select("*", index_of().alias("_index")).join(one.select("id", "_index"), ["id", "_index"], "left_anti")
+    return kept.select(*old.columns).unionByName(one.select(*old.columns))
+
+
+def new_vectors_only(documents: DataFrame, index: DataFrame, asked: Column) -> DataFrame:
+    """Documents whose id the asked index (type, dimension, chunk size) does not hold yet."""
+    held = index.select(F.col("id").alias("unique_id"), index_of().alias("_index"))
+    keyed = documents.select("*", asked.alias("_index"))
+    return keyed.join(held, ["unique_id", "_index"], "left_anti").drop("_index")
+
+
 def matched_rows(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     return new.join(old.select(key), key, "left_semi")
 

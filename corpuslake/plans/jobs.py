@@ -8,7 +8,7 @@ import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslake import constants as C
@@ -32,6 +32,7 @@ class Settings:
     model: str = "hashing-384"
     load_model: Callable[[], object] = field(default=HashingEmbedder)
     project: str = "default"
+    most_failed: float = 0.1  # a run fails if the model gives no vector for a larger share of the chunks
     k1: float = C.BM25_K1
     b: float = C.BM25_B
     epsilon: float = C.BM25_EPSILON
@@ -103,6 +104,13 @@ def load_or_build_bm25(lake: Lake, pages: DataFrame, settings: Settings, refresh
     )
 
 
+def _embedded_enough(chunk_rows: DataFrame, docs: DataFrame, settings: Settings) -> None:
+    """Raises where a model that fails would leave the corpus (almost) empty; counts come from file footers."""
+    asked, given = chunk_rows.count(), docs.count()
+    if given < (1 - settings.most_failed) * asked:
+        raise RuntimeError(f"the model gave no vector for {asked - given} of {asked} chunks")
+
+
 def _chunked(pages: DataFrame, settings: Settings) -> DataFrame:
     return chunks.chunk_pages(pages, (settings.chunk_size,)).select(*schemas.CHUNKS.fieldNames())
 
@@ -115,7 +123,8 @@ def initial_load(
     page_list: DataFrame,
     crawl: DataFrame,
     settings: Settings = Settings(),
-    batch_id: str = "initial",
+    *,
+    batch_id: str,
 ) -> dict:
     """Page list and crawl snapshot to all corpus tables, in one commit."""
     if lake.applied(batch_id):
@@ -131,6 +140,7 @@ def initial_load(
         "documents", build_documents(chunk_rows, terms, params, settings)
     )
     docs = lake.staged_rows("documents", staged["documents"])
+    _embedded_enough(chunk_rows, docs, settings)
     staged["vectors"] = lake.stage("vectors", documents.upload_records(docs, settings.project))
     staged["registry"] = lake.stage("registry", merge.distinct_ids(docs))
     lake.commit(staged, batch_id)
@@ -179,7 +189,8 @@ def apply_changes(
     feed: DataFrame,
     crawl: DataFrame,
     settings: Settings = Settings(),
-    batch_id: str = "update",
+    *,
+    batch_id: str,
     refresh_bm25: bool = False,
 ) -> DataFrame | None:
     """Applies a change feed to every table in one commit; returns the run report.
@@ -224,12 +235,13 @@ def apply_changes(
     )
     built = build_documents(new_chunks, terms, params, settings)
     new_docs = lake.staged_rows("documents", lake.stage("documents", built))
+    _embedded_enough(new_chunks, new_docs, settings)
     staged["documents"] = lake.stage(
         "documents", merge.upsert_replace(new_docs, kept["documents"]), touched
     )
     records = documents.upload_records(new_docs, settings.project)
     staged["vectors"] = lake.stage(
-        "vectors", merge.upsert_replace(records, kept["vectors"], "id"), touched
+        "vectors", merge.upsert_vectors(records, kept["vectors"]), touched
     )
     all_docs = lake.staged_rows("documents", staged["documents"])
     staged["registry"] = lake.stage(
@@ -273,7 +285,7 @@ def publish_vectors(lake: Lake, docs: DataFrame, project: str, batch_id: str) ->
         return None
     staged = {
         "vectors": lake.stage(
-            "vectors", merge.upsert_replace(records, lake.read("vectors", touched), "id"), touched
+            "vectors", merge.upsert_vectors(records, lake.read("vectors", touched)), touched
         ),
         "registry": lake.stage(
             "registry", merge.register_ids(lake.read("registry", touched), docs), touched
@@ -294,7 +306,8 @@ def publish_new_vectors(
         return None
     touched = lake.buckets_of(docs, "unique_id")
     held = lake.read("vectors", touched)
-    fresh = merge.new_documents_only(docs, held)
+    asked = F.struct(F.lit(doc_type), F.size("values"), F.lit(chunk_size))
+    fresh = merge.new_vectors_only(docs, held, asked)
     reduced = documents.reduced_records(fresh, chunk_size, doc_type)
     metadata = F.struct(
         *[
@@ -326,8 +339,3 @@ def clear_vectors(lake: Lake, model: str, batch_id: str) -> DataFrame:
     held = checkpointed(documents.index_stats(lake.read("vectors"), model))
     lake.commit({"vectors": ("", None, [])}, batch_id)
     return held
-
-
-def index_vectors(spark: SparkSession, lake: Lake, model: str) -> DataFrame:
-    """Vector count by index name."""
-    return documents.index_stats(lake.read("vectors"), model)

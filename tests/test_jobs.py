@@ -46,10 +46,10 @@ def lake(spark, tmp_path):
 def test_increment_equals_rebuild_with_frozen_statistics(spark, lake, tmp_path):
     old, old_crawl = make(spark, OLD)
     new, crawl = make(spark, NEW)
-    jobs.initial_load(lake, old, old_crawl, SETTINGS)
+    jobs.initial_load(lake, old, old_crawl, SETTINGS, batch_id="initial")
     assert lake.read("pages").where("html_content IS NULL").count() == 1
     feed = changes.changes(old, new, "2024-02-01 00:00:00")
-    report = jobs.apply_changes(lake, feed, crawl, SETTINGS, "b1").first()
+    report = jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b1").first()
     assert report["removed"] == 3 and report["modified"] == 3 and report["added"] == 4
 
     rebuilt = Lake(spark, str(tmp_path / "rebuilt"), hex_digits=1)
@@ -58,7 +58,7 @@ def test_increment_equals_rebuild_with_frozen_statistics(spark, lake, tmp_path):
     }
     rebuilt.commit(frozen, "statistics")
     fetched = new.join(crawl.select("url"), "url", "left_semi").select(*new.columns)
-    jobs.initial_load(rebuilt, fetched, crawl, SETTINGS)
+    jobs.initial_load(rebuilt, fetched, crawl, SETTINGS, batch_id="initial")
     for table in TABLES:
         assert content(lake, table) == content(rebuilt, table), table
     orphans = lake.read("chunks").join(
@@ -70,22 +70,22 @@ def test_increment_equals_rebuild_with_frozen_statistics(spark, lake, tmp_path):
 def test_batch_takes_effect_once(spark, lake):
     old, old_crawl = make(spark, OLD)
     new, crawl = make(spark, NEW)
-    jobs.initial_load(lake, old, old_crawl, SETTINGS)
-    assert jobs.initial_load(lake, old, old_crawl, SETTINGS) == {}
+    jobs.initial_load(lake, old, old_crawl, SETTINGS, batch_id="initial")
+    assert jobs.initial_load(lake, old, old_crawl, SETTINGS, batch_id="initial") == {}
     feed = changes.changes(old, new, "2024-02-01 00:00:00")
-    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, "b1") is not None
+    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b1") is not None
     before = content(lake, "vectors")
-    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, "b1") is None
-    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, "b2") is not None
+    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b1") is None
+    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b2") is not None
     assert content(lake, "vectors") == before
     empty = feed.where(F.lit(False))
-    assert jobs.apply_changes(lake, empty, crawl, SETTINGS, "b3") is None
+    assert jobs.apply_changes(lake, empty, crawl, SETTINGS, batch_id="b3") is None
 
 
 def test_run_that_dies_before_commit_leaves_no_trace(spark, lake, monkeypatch):
     old, old_crawl = make(spark, OLD)
     new, crawl = make(spark, NEW)
-    jobs.initial_load(lake, old, old_crawl, SETTINGS)
+    jobs.initial_load(lake, old, old_crawl, SETTINGS, batch_id="initial")
     before = {t: content(lake, t) for t in TABLES}
     feed = changes.changes(old, new, "2024-02-01 00:00:00")
 
@@ -95,17 +95,17 @@ def test_run_that_dies_before_commit_leaves_no_trace(spark, lake, monkeypatch):
     with monkeypatch.context() as patch:
         patch.setattr(Lake, "commit", dies)
         with pytest.raises(RuntimeError):
-            jobs.apply_changes(lake, feed, crawl, SETTINGS, "b1")
+            jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b1")
     assert {t: content(lake, t) for t in TABLES} == before
-    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, "b1") is not None
+    assert jobs.apply_changes(lake, feed, crawl, SETTINGS, batch_id="b1") is not None
 
 
 def test_only_touched_buckets_are_rewritten(spark, lake):
     old, crawl = make(spark, {n: 1 for n in range(40)})
-    jobs.initial_load(lake, old, crawl, SETTINGS)
+    jobs.initial_load(lake, old, crawl, SETTINGS, batch_id="initial")
     before = lake._current()[1]
     new, new_crawl = make(spark, {n: (2 if n == 0 else 1) for n in range(40)})
-    jobs.apply_changes(lake, changes.changes(old, new), new_crawl, SETTINGS, "b1")
+    jobs.apply_changes(lake, changes.changes(old, new), new_crawl, SETTINGS, batch_id="b1")
     moved = {k for k, v in lake._current()[1].items() if before.get(k) != v}
     bucket = old.where("url = 'https://h/0'").first()["id"][:1]
     assert {b for _, b in moved} == {bucket}
@@ -121,10 +121,10 @@ def test_stream_of_two_change_sets_with_restart_equals_batch(spark, lake, tmp_pa
     ]
     other = Lake(spark, str(tmp_path / "batch"), hex_digits=1)
     for target in (lake, other):
-        jobs.initial_load(target, first, first_crawl, SETTINGS)
+        jobs.initial_load(target, first, first_crawl, SETTINGS, batch_id="initial")
     inbox, checkpoint = str(tmp_path / "inbox"), str(tmp_path / "checkpoint")
     for number, feed in enumerate(feeds):
-        jobs.apply_changes(other, feed, crawl, SETTINGS, f"b{number}")
+        jobs.apply_changes(other, feed, crawl, SETTINGS, batch_id=f"b{number}")
         writers.write_change_sets(feed, inbox)
         start_change_feed(spark, inbox, checkpoint, lake, crawl, SETTINGS).awaitTermination()
     for table in TABLES:
@@ -136,7 +136,7 @@ def test_stream_of_two_change_sets_with_restart_equals_batch(spark, lake, tmp_pa
 def test_stream_with_archive(spark, lake, tmp_path):
     old, old_crawl = make(spark, OLD)
     new, crawl = make(spark, NEW)
-    jobs.initial_load(lake, old, old_crawl, SETTINGS)
+    jobs.initial_load(lake, old, old_crawl, SETTINGS, batch_id="initial")
     inbox, checkpoint, archive = (str(tmp_path / n) for n in ("inbox", "checkpoint", "archive"))
     writers.write_change_sets(changes.changes(old, new, "2024-02-01 00:00:00"), inbox)
     for _ in range(2):
