@@ -1,4 +1,4 @@
-"""Queries over the dealt operators, one per operator, and their SQL where there is one."""
+"""Queries over the dealt operators, one per operator; ``ORACLE`` has their SQL where there is one."""
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,33 +15,11 @@ from corpuslake.llm import (
     simhash_groups,
     toxicity,
 )
+from corpuslake.llm.oracle import ORACLE  # noqa: F401
 from corpuslake.llm.vocabularies import byte_bpe
 from corpuslake.llm.words import held_out
 
 QUERIES = {}
-ORACLE = {
-    "op3_repeated_passages": r"""
-        WITH w AS (
-            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
-        ), places AS (
-            SELECT doc_id, unnest(range(1, len(words) - 11)) AS start, words FROM w WHERE len(words) >= 13
-        ), windows AS (
-            SELECT doc_id, start, array_to_string(words[start : start + 12], ' ') AS passage FROM places
-        ), firsts AS (
-            SELECT passage, min(doc_id) AS first_doc FROM windows GROUP BY passage
-        ), gone AS (
-            SELECT DISTINCT doc_id, unnest(range(start, start + 13)) AS place
-            FROM windows JOIN firsts USING (passage) WHERE first_doc < doc_id
-        ), marks AS (
-            SELECT doc_id, list(place) AS places, count(*) AS n FROM gone GROUP BY doc_id
-        )
-        SELECT w.doc_id, CAST(len(words) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed,
-            sha256(array_to_string(
-                [words[i] for i in range(1, len(words) + 1) if places IS NULL OR NOT list_contains(places, i)], ' '
-            )) AS kept_sha256
-        FROM w LEFT JOIN marks USING (doc_id)
-    """,
-}
 
 
 def _query(function):
