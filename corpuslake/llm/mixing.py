@@ -186,7 +186,8 @@ def _taken_pieces(placed: DataFrame, sources: DataFrame, block: int) -> DataFram
         F.coalesce(F.sum("words"), F.lit(0)).alias("cut"),
         F.min("shard").alias("shard"),
     )
-    joined = _pieces(placed, sources, block).join(read, ["sid", "idx"])
+    # Sizes of exploded rows are guessed from the few sources; the hint keeps them from being broadcast.
+    joined = _pieces(placed, sources, block).hint("merge").join(read, ["sid", "idx"])
     # A slot that is cut reads the first words of its block.
     part = F.greatest(F.lit(0).cast("long"), F.least("length", F.col("cut") - F.col("begin")))
     return joined.withColumn("part", part)
@@ -213,7 +214,7 @@ def plan_mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     # Rows with words never share their place, rows without are not in ``taken``.
     rows = placed.withColumn("at", F.when(F.col("size") > 0, F.col("first")))
     taken = taken.withColumnRenamed("first", "at")
-    return rows.join(taken, ["sid", "at"], "left").select(
+    return rows.hint("merge").join(taken, ["sid", "at"], "left").select(
         "doc_id", "source", "first", "size", "source_size", "target",
         F.coalesce("taken", F.lit(0)).cast("long").alias("taken"), "first_shard",
     )
@@ -239,7 +240,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     # Rows that share id, source and size are told apart by their rank.
     key = ["doc_id", "source", "size"]
     ranked = placed.where("size > 0").withColumn("rank", F.row_number().over(Window.partitionBy(*key).orderBy("first")))
-    spans = spans.join(
+    spans = spans.hint("merge").join(
         ranked.select(*[F.col(c).alias(f"_k{c}") for c in key], F.col("first").alias("_kfirst"), "rank"),
         (F.col("first") == F.col("_kfirst"))
         & (F.col("size") == F.col("_ksize"))
@@ -251,7 +252,7 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     own = docs.select(row.alias("_row"), word_count(F.col("text")).alias("_size"))
     order = Window.partitionBy("_row.doc_id", "_row.source", "_size").orderBy(F.xxhash64("_row.text"))
     own = own.withColumn("_rank", F.row_number().over(order))
-    found = own.join(
+    found = own.hint("merge").join(
         spans,
         own["_row"]["doc_id"].eqNullSafe(spans["_kdoc_id"])
         & own["_row"]["source"].eqNullSafe(spans["_ksource"])
