@@ -22,7 +22,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Puts pseudonyms in the place of personal numbers, dates and addresses."""
-    return pseudonyms.pseudonymise(docs, spans="_spans").drop("_spans")
+    return pseudonyms.pseudonymise(docs, spans=None)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -139,7 +139,7 @@ def fit(
     documents with the smallest hash of their id are taken.  Without any, the filters
     know no language.
     """
-    usable = docs.where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    usable = docs.select("doc_id", "lang", "text").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.where(~held_out(F.col("doc_id")))
     ids = usable.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
     order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")

@@ -184,13 +184,15 @@ def _taken_pieces(placed: DataFrame, sources: DataFrame, block: int) -> DataFram
     read = draws(sources, block).groupBy("sid", "idx").agg(
         F.count(F.when(F.col("words").isNull(), 1)).alias("times"),
         F.coalesce(F.sum("words"), F.lit(0)).alias("cut"),
-        F.min("shard").alias("shard"),
+        F.min(F.when(F.col("words").isNull(), F.col("shard"))).alias("whole_shard"),
+        F.min(F.when(F.col("words").isNotNull(), F.col("shard"))).alias("cut_shard"),
     )
     # Sizes of exploded rows are guessed from the few sources; the hint keeps them from being broadcast.
     joined = _pieces(placed, sources, block).hint("merge").join(read, ["sid", "idx"])
     # A slot that is cut reads the first words of its block.
     part = F.greatest(F.lit(0).cast("long"), F.least("length", F.col("cut") - F.col("begin")))
-    return joined.withColumn("part", part)
+    joined = joined.withColumn("part", part).where("times > 0 or part > 0")
+    return joined.withColumn("shard", F.least("whole_shard", F.when(F.col("part") > 0, F.col("cut_shard"))))
 
 
 def plan_mix(docs: DataFrame, block: int = BLOCK) -> DataFrame:

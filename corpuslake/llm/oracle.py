@@ -100,7 +100,8 @@ MIXING = f"""
         SELECT * FROM {_permuted(_permuted("slots", "idx", "blocks", "tweak"), "spot", "all_slots", "0")}
     ), read AS (
         SELECT sid, idx, count(*) FILTER (cut IS NULL) AS times, coalesce(sum(cut), 0)::BIGINT AS cut,
-            min(spot // {m.SHARD_SLOTS}) AS shard
+            min(spot // {m.SHARD_SLOTS}) FILTER (cut IS NULL) AS whole_shard,
+            min(spot // {m.SHARD_SLOTS}) FILTER (cut IS NOT NULL) AS cut_shard
         FROM (SELECT *, CASE WHEN k = slots - 1 AND words - round((slots - 1) * (source_size / blocks)) < floor(source_size / blocks)
             THEN (words - round((slots - 1) * (source_size / blocks)))::BIGINT END AS cut FROM drawn)
         GROUP BY sid, idx
@@ -111,8 +112,10 @@ MIXING = f"""
             unnest(range({_BLOCK_OF.format(w="first")}, {_BLOCK_OF.format(w="(first + size - 1)")} + 1)) AS idx
             FROM (SELECT p.*, blocks FROM placed p JOIN shape USING (sid) WHERE size > 0) p)
     ), taken AS (
-        SELECT sid, first, sum(length * times + greatest(0, least(length, cut - begin)))::BIGINT AS taken, min(shard) AS first_shard
-        FROM pieces JOIN read USING (sid, idx) GROUP BY sid, first
+        SELECT sid, first, sum(length * times + part)::BIGINT AS taken,
+            min(least(whole_shard, CASE WHEN part > 0 THEN cut_shard END)) AS first_shard
+        FROM (SELECT *, greatest(0, least(length, cut - begin)) AS part FROM pieces JOIN read USING (sid, idx))
+        WHERE times > 0 OR part > 0 GROUP BY sid, first
     )
     SELECT doc_id, size, source_size, target, coalesce(taken, 0) AS taken, first_shard
     FROM placed p LEFT JOIN taken t ON t.sid = p.sid AND t.first = p.first AND p.size > 0

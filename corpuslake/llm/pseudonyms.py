@@ -236,8 +236,8 @@ def pseudonymise_text(text: str | None, key: bytes = KEY):
     return "".join([*parts, text[done:]]), spans
 
 
-def pseudonymise(docs: DataFrame, key: bytes = KEY, spans: str = "pii_spans") -> DataFrame:
-    """``docs`` with ``text`` pseudonymised and a column ``spans`` of what was replaced.
+def pseudonymise(docs: DataFrame, key: bytes = KEY, spans: str | None = "pii_spans") -> DataFrame:
+    """``docs`` with ``text`` pseudonymised and, if named, a column ``spans`` of what was replaced.
 
     ``n_chars`` follows the new text where there is such a column.  Null text stays
     null and has no spans; all other columns, rows and repeats stay.
@@ -258,4 +258,5 @@ def pseudonymise(docs: DataFrame, key: bytes = KEY, spans: str = "pii_spans") ->
         length = F.length("_new.text").cast(dict(docs.dtypes)["n_chars"])
         own["n_chars"] = F.when(own["n_chars"].isNotNull(), length)
     own["text"] = F.col("_new.text")
-    return found.select(*[own[c].alias(c) for c in docs.columns], F.col("_new.spans").alias(spans))
+    extra = [F.col("_new.spans").alias(spans)] if spans else []
+    return found.select(*[own[c].alias(c) for c in docs.columns], *extra)
