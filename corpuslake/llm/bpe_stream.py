@@ -16,7 +16,6 @@ import json
 from collections import deque
 from hashlib import sha256
 from itertools import chain, islice
-from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -26,9 +25,8 @@ from pyspark.sql import functions as F
 
 # Fixed: the pre-splitting pattern of byte-level BPE.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-_IDS, _SHOWN = itemgetter(0), itemgetter(1)
 GROUP = 2048  # pieces handled at once
-CACHED = 150_000  # pieces remembered in each of two generations
+CACHED = 300_000  # pieces remembered in each of two generations
 
 
 def _byte_letters() -> dict[str, int]:
@@ -52,11 +50,13 @@ class Bpe:
         self.special = dict(special)
         self.split_special = regex.compile("(" + "|".join(map(regex.escape, self.special)) + ")") if special else None
         self.pieces = regex.compile(PATTERN)
-        # (left id, right id) -> rank * 2**20 + new id, so the smallest value is the first merge
-        self.merges = {}
+        # left id -> right id -> rank * 2**20 + new id, so the smallest value is the first merge
+        self.merges = [{} for _ in range(max(self.tokens) + 1)]
         for rank, pair in enumerate(spec["model"]["merges"]):
             left, right = pair if isinstance(pair, list) else pair.split(" ")
-            self.merges[ids[left] << 20 | ids[right]] = rank << 20 | ids[left + right]
+            self.merges[ids[left]][ids[right]] = rank << 20 | ids[left + right]
+        self._number = list(range(len(self.merges)))  # one object per id, however often it is remembered
+        self.shown = list(map(str, self._number))
         self.single = [0] * 256
         for token, value in raw.items():
             if len(value) == 1:
@@ -71,8 +71,8 @@ class Bpe:
     def merge(self, piece: bytes) -> list[int]:
         """All merges of a short piece: lowest rank first, leftmost first."""
         parts = [self.single[b] for b in piece]
-        get, never = self.merges.get, 1 << 62
-        ranks = [get(a << 20 | b, never) for a, b in zip(parts, parts[1:])]
+        merges, never = self.merges, 1 << 62
+        ranks = [merges[a].get(b, never) for a, b in zip(parts, parts[1:])]
         while ranks:
             best = min(ranks)
             if best == never:
@@ -81,9 +81,9 @@ class Bpe:
             parts[at : at + 2] = (best & 0xFFFFF,)
             del ranks[at]
             if at:
-                ranks[at - 1] = get(parts[at - 1] << 20 | parts[at], never)
+                ranks[at - 1] = merges[parts[at - 1]].get(parts[at], never)
             if at < len(ranks):
-                ranks[at] = get(parts[at] << 20 | parts[at + 1], never)
+                ranks[at] = merges[parts[at]].get(parts[at + 1], never)
         return parts
 
     def _follows(self, left: int, right: int) -> bool:
@@ -91,7 +91,7 @@ class Bpe:
         key = left << 20 | right
         known = self._pairs.get(key)
         if known is None:
-            if len(self._pairs) > 4 * CACHED:
+            if len(self._pairs) >= CACHED:
                 self._pairs.clear()
             known = self._pairs[key] = self.merge(self.tokens[left] + self.tokens[right]) == [left, right]
         return known
@@ -148,22 +148,20 @@ class Bpe:
     # -- texts -----------------------------------------------------------------
 
     def _entry(self, piece: str):
-        """(ids, ids as text) of a piece that ends within the lookahead, remembered."""
+        """Ids of a piece that ends within the lookahead, remembered."""
         found = self._old.get(piece)
         if found is None:
-            ids = self.merge(piece.encode("utf-8"))
-            found = (ids, ",".join(map(str, ids)))
+            found = tuple(map(self._number.__getitem__, self.merge(piece.encode("utf-8"))))
         if len(self._young) >= CACHED:
             self._young, self._old = {}, self._young
         self._young[piece] = found
         return found
 
     def entries(self, text: str):
-        """Groups of entries, in order; a long piece comes in several entries."""
+        """Groups of ids by piece, in order; a long piece comes in several groups."""
         for part in self.split_special.split(text) if self.split_special else [text]:
             if part in self.special:
-                number = self.special[part]
-                yield [([number], str(number))]
+                yield [(self.special[part],)]
                 continue
             pieces = (m[0] for m in self.pieces.finditer(part)) if len(part) > 1 << 16 else self.pieces.findall(part)
             pieces = iter(pieces)
@@ -177,7 +175,7 @@ class Bpe:
                         yield found[start:at]
                         tokens = self.stream(iter(group[at].encode("utf-8")))
                         while some := list(islice(tokens, GROUP)):
-                            yield [(some, ",".join(map(str, some)))]
+                            yield [some]
                         start = at + 1
                 yield found[start:]
 
@@ -187,7 +185,7 @@ class Bpe:
     def encode(self, text: str | None):
         """Groups of ids of a text, in order; null is empty."""
         for group in self.entries(text or ""):
-            yield list(chain.from_iterable(map(_IDS, group)))
+            yield list(chain.from_iterable(group))
 
 
 class Decoder:
@@ -217,9 +215,9 @@ def digest_text(model: Bpe, text: str | None) -> tuple[int, str, str]:
     """(number of tokens, sha256 of the ids, sha256 of the text decoded from them)."""
     ids_sha, text_sha, decoder, n = sha256(), sha256(), model.decoder(), 0
     for group in model.entries(text or ""):
-        ids = list(chain.from_iterable(map(_IDS, group)))
+        ids = list(chain.from_iterable(group))
         if ids:
-            shown = ",".join(map(_SHOWN, group))
+            shown = ",".join(map(model.shown.__getitem__, ids))
             ids_sha.update(("," + shown if n else shown).encode())
             n += len(ids)
             text_sha.update(decoder.feed(ids).encode("utf-8"))
