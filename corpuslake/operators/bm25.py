@@ -8,6 +8,7 @@ from corpuslake.functions.text import tokens, words
 from corpuslake.operators.common import hashed, single, unfold
 from corpuslake.sources.scratch import checkpointed
 
+# The bound only chooses the form of a join; both forms give equal rows (tested).
 # Terms joined by broadcast: those with at least 1/HOT_TERMS of all postings.  There
 # can be no more than HOT_TERMS of them, and with the length limit the broadcast side
 # stays below HOT_TERMS * (HOT_TERM_LENGTH * 4 + 64) bytes = 54 MB whatever the corpus.
