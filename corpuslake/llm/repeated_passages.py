@@ -246,18 +246,19 @@ def _reports(sightings: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(run, "rid long, shared binary, n long")
 
 
-_STRETCHES = "shard int, anchor long, sub long, id long, hash long, rid long, start int, words binary, found binary"
+_STRETCHES = "shard int, anchor long, sub long, id long, hash long, rid long, words binary, starts binary"
 _STRETCHES_NAMES = [part.split()[0] for part in _STRETCHES.split(", ")]
 
 
 def _stretches(told: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
-    """Stretches for the shards (``words``), and windows already found in the batch (``found``)."""
+    """Stretches for the shards with all their ``starts`` in the document; without ``words``, starts of windows already found."""
     shared_hot = told.sparkSession.sparkContext.broadcast(hot)
 
     def run(batches):
         often = shared_hot.value
         for batch in batches:
             ids, hashes, rids = (batch.column(c).to_pylist() for c in ("id", "hash", "rid"))
+            # Per stretch the row with the least id and all places where that row has it.
             seen: dict[tuple, tuple] = {}
             found: dict[int, list] = {}
             for k, (raw, lists) in enumerate(zip(utf8_list(batch.column("text")), batch.column("lists").to_pylist())):
@@ -282,21 +283,24 @@ def _stretches(told: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
                     first = seen.get(key)
                     if first is None or ids[k] < ids[first[0]]:
                         if first is not None:
-                            found.setdefault(first[0], []).append((first[1], stop - start))
-                        seen[key] = (k, start)
+                            found.setdefault(first[0], []).extend((place, stop - start) for place in first[1])
+                        seen[key] = (k, [start])
                     elif ids[k] > ids[first[0]]:
                         found.setdefault(k, []).append((start, stop - start))
-                    elif k != first[0]:
-                        seen[key + (k, start)] = (k, start)
+                    elif k == first[0]:
+                        first[1].append(start)
+                    else:
+                        seen.setdefault(key + (k,), (k, []))[1].append(start)
             out = []
-            for (anchor, sub, text, *_), (k, start) in seen.items():
+            for (anchor, sub, text, *_), (k, places) in seen.items():
                 shard = (anchor * 31 + sub) % shards
-                out.append((shard, anchor, sub, ids[k], hashes[k], rids[k], start, text, None))
+                starts = np.array(places, dtype="<i4")
+                out.append((shard, anchor, sub, ids[k], hashes[k], rids[k], text, starts.tobytes()))
             for k, spans in found.items():
                 starts = np.concatenate([np.arange(start, start + length - WINDOW + 1) for start, length in spans])
-                out.append((rids[k] % shards, None, None, ids[k], hashes[k], rids[k], None, None, starts.astype("<i4").tobytes()))
-            columns = list(zip(*out)) if out else [()] * 9
-            kinds = [pa.int32(), *[pa.int64()] * 5, pa.int32(), pa.binary(), pa.binary()]
+                out.append((rids[k] % shards, None, None, ids[k], hashes[k], rids[k], None, starts.astype("<i4").tobytes()))
+            columns = list(zip(*out)) if out else [()] * 8
+            kinds = [pa.int32(), *[pa.int64()] * 5, pa.binary(), pa.binary()]
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds)], _STRETCHES_NAMES)
 
     return told.mapInArrow(run, _STRETCHES)
@@ -331,7 +335,7 @@ class _Shard:
 
 def _found(stretches: DataFrame, shards: int) -> DataFrame:
     """``(rid, id, hash, starts)``: windows of documents that an earlier document has."""
-    order = ["anchor", "sub", "id", "hash", "start"]
+    order = ["anchor", "sub", "id", "hash"]
     dealt = stretches.repartitionById(shards, F.col("shard")).sortWithinPartitions(*order)
 
     def run(batches):
@@ -339,15 +343,16 @@ def _found(stretches: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             out = {}
             columns = [batch.column(c).to_pylist() for c in _STRETCHES_NAMES[1:]]
-            for anchor, sub, id_, hash_, rid, start, text, known in zip(*columns):
+            for anchor, sub, id_, hash_, rid, text, places in zip(*columns):
+                places = np.frombuffer(places, "<i4")
                 if text is None:
-                    out.setdefault((rid, id_, hash_), []).append(np.frombuffer(known, "<i4"))
+                    out.setdefault((rid, id_, hash_), []).append(places)
                     continue
                 if (anchor, sub) != key:
                     key, shard = (anchor, sub), _Shard()
                 starts = shard.look(text, id_)
                 if starts:
-                    out.setdefault((rid, id_, hash_), []).append(np.array(starts, dtype="<i4") + start)
+                    out.setdefault((rid, id_, hash_), []).append(np.add.outer(places, np.array(starts, dtype="<i4")).ravel())
             rows = [(*k, np.concatenate(v).astype("<i4").tobytes()) for k, v in out.items()]
             columns = list(zip(*rows)) if rows else [()] * 4
             kinds = [*[pa.int64()] * 3, pa.binary()]

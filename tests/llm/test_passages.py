@@ -66,3 +66,27 @@ def test_passages_in_many_documents_and_hot_lines(spark, monkeypatch):
         rows.append((i, " ".join(parts), None, None, None))
     frame = spark.createDataFrame(rows, DOCS).repartition(7)
     assert as_rows(rep.without_repeats(frame)) == expected(rows)
+
+
+def test_passages_repeated_inside_a_document(spark, monkeypatch):
+    """All places of a passage go, wherever the earlier document is: other batch, same batch before or behind."""
+    passage, line = prose(70, 40), prose(71, 13)
+
+    def rows_with(order):
+        rows = []
+        for i in order:
+            parts = [prose(5000 + i, 20)]
+            if i % 3 == 0:
+                parts += [passage, prose(6000 + i, 15), passage, line, passage][: 1 + i % 5]
+            if i % 2 == 0:
+                parts += [line, prose(7000 + i, 9), line]
+            rows.append((i, " ".join(parts), None, None, None))
+        return rows
+
+    for share in (rep.HOT_SHARE, 30):
+        monkeypatch.setattr(rep, "HOT_SHARE", share)
+        for order in (range(60), range(59, -1, -1)):
+            rows = rows_with(order)
+            for parts in (1, 6):
+                frame = spark.createDataFrame(rows, DOCS).coalesce(1) if parts == 1 else spark.createDataFrame(rows, DOCS).repartition(parts)
+                assert as_rows(rep.without_repeats(frame)) == expected(rows)
