@@ -3,8 +3,9 @@
 Blocks of text pass points for their length and commas to their ancestors, the whole
 to the nearest, less to the next; an element's points are discounted by its share of
 linked text.  The best element (or the article around it) is kept with those siblings
-that score well themselves.  Menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and reader comments are cut out of the tree first.
+that score well themselves; on pages that mark no article, with everything of little
+linked text in the container around it.  Menus, headers, footers, sidebars, notices,
+adverts, forms, scripts, styles and reader comments are cut out of the tree first.
 """
 
 import re
@@ -221,7 +222,7 @@ class _Page:
         return own * (1 - node.linked / node.chars)
 
     def menu(self, node):
-        """A list of links inside the article."""
+        """A list of links."""
         return node.tag in ("ul", "ol", "menu", "dl") and node.links >= 3 and node.linked >= 0.7 * node.chars
 
     def main_blocks(self) -> list[str]:
@@ -233,6 +234,8 @@ class _Page:
         top = best.inside(("article",)) or best.inside(("main",)) or best
         level = max(self.worth(best), self.worth(top))
         top.kept = True
+        if top.tag not in ("article", "main"):
+            return self._around(top)
         for node in self.nodes:
             if node.parent is top.parent and node is not top and node.chars and not node.cut:
                 dense = node.linked / node.chars
@@ -244,14 +247,47 @@ class _Page:
                     node.kept = True
         return [text for owner, text, _ in self.blocks if self._kept(owner)]
 
-    def _kept(self, owner) -> bool:
-        node, kept = owner, False
+    def _around(self, top) -> list[str]:
+        """Blocks of ``top`` and what has few links in the container that it shares with other text."""
+        while top.parent and top.parent.chars == top.chars:
+            top = top.parent
+            top.kept = True
+        for node in self.nodes:
+            if node.parent is top.parent and node.chars and (node.tag in _HEADINGS or node.linked / node.chars < 0.25):
+                node.kept = True
+        found, begun = [], False
+        for owner, text, linked in self.blocks:
+            few, listed = linked / len(text) < 0.25, self._listed(owner)
+            # Lists of links beside the text belong to it, but not those straight in the body of the page.
+            fits = few or (listed and top.parent and top.parent.tag not in ("html", "body"))
+            inside = self._kept(owner) or (fits and top.parent and self._below(owner, top.parent))
+            # Where no article is marked, a list of links before its first text is a menu.
+            if inside and (begun or not listed):
+                found.append(text)
+                begun = begun or few
+        return found
+
+    def _listed(self, owner) -> bool:
+        node = owner
         while node:
             if self.menu(node):
-                return False
-            kept = kept or node.kept
+                return True
+            node = node.parent
+        return False
+
+    @staticmethod
+    def _below(owner, container) -> bool:
+        node = owner
+        while node and node is not container:
+            node = node.parent
+        return node is container
+
+    @staticmethod
+    def _kept(owner) -> bool:
+        node = owner
+        while node and not node.kept:
             node = node.parent
-        return kept
+        return node is not None
 
 
 def main_text(html: str | None) -> str:

@@ -245,3 +245,20 @@ def test_main_text_of_given_pages(spark, name):
         article = re.search(r"<article>(.*?)(?:</article>|<footer>|\Z)", r.html, re.S)[1]
         words = re.sub(r"<[^>]*>", " ", article).replace("&amp;", "&").replace("&quot;", '"').split()
         assert r.text.split() == words
+
+
+def test_short_sections_and_lists_of_sources_stay():
+    long_p, short_p = "a, b, c, " + "word " * 58 + "end", "x, " + "word " * 29 + "end"
+    sources = "".join(f'<li><a href="/{k}">Source {k}</a></li>' for k in range(4))
+    menu = "<ul>" + "".join(f'<li><a href="/{k}">Part {k}</a></li>' for k in range(4)) + "</ul>"
+    listed = [f"Source {k}" for k in range(4)]
+    first = "".join(f"<p>{long_p}</p>" for _ in range(10))
+    body = f"<section>{first}</section><section><p>{short_p}</p></section><p>Short end</p><ul>{sources}</ul>"
+    page = f"<body>{menu}<div class=content>{body}</div><div class=footer>Imprint</div></body>"
+    assert main_text.main_text(page) == "\n\n".join([long_p] * 10 + [short_p, "Short end", *listed])
+    body = f"<section>{first}</section><section><p>{short_p}</p><h2>Sources</h2><ul>{sources}</ul></section>"
+    page = f"<body>{menu}<div class=content>{body}</div><div class=footer>Imprint</div></body>"
+    found = main_text.main_text(page).split("\n\n")
+    assert found == [long_p] * 10 + [short_p, "Sources", *listed]
+    marked = f"<body>{menu}<article><p>{long_p}</p><h2>Sources</h2><ul>{sources}</ul><ul class=related>{sources}</ul></article></body>"
+    assert main_text.main_text(marked).split("\n\n") == [long_p, "Sources", *listed]
