@@ -5,6 +5,10 @@ through a keyed Feistel network with cycle walking, and written back in the same
 layout: cards keep a right check digit, dates stay dates, octets keep their length.
 The permutation depends only on key, kind and value, so equal values stay linked in
 all documents and two different ones never become equal.
+
+Not found: dates with one-digit days or months, two-digit years, names of months or
+years outside 1900 to 2099; phones without a plus sign other than 3-3-4; cards in
+groups other than 4-4-4-n and 4-6-4 or 4-6-5.
 """
 
 import hmac
@@ -26,14 +30,18 @@ _LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
 _NUMBER = re.compile(
     r"(?<![\w@])(?:"
     r"(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\d]|\.\d)"
-    r"|(?P<card>\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{13,19})(?!\w)"
+    r"|(?P<card>\d{4}(?P<gap>[ -])\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|\d{4}(?P<gap2>[ -])\d{6}(?P=gap2)\d{4,5}|\d{13,19})(?!\w)"
     r"|(?P<ssn>\d{3}-\d{2}-\d{4})(?!\w|-\d)"
-    r"|(?P<date>\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![\d])"
+    r"|(?P<date>\d{4}(?P<mark>[-/.])\d{2}(?P=mark)\d{2}|\d{2}(?P<mark2>[-/.])\d{2}(?P=mark2)\d{4})(?![\d])"
     r"|(?P<phone>(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\) ?|\d{3}[ .-])\d{3}[ .-]\d{4})(?!\w)"
     r"|(?P<iban>[A-Z]{2}\d{2}(?:[A-Z0-9]{11,30}|(?: [A-Z0-9]{4}){2,7}(?: [A-Z0-9]{1,3})?))(?!\w)"
     r")"
 )
 _PHONE_LEAD = re.compile(r"(?<![\w@])\+\d{1,3}[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\w)")
+# Any grouping of 8 to 15 digits behind a plus sign.
+_PHONE_ABROAD = re.compile(r"(?<![\w@])\+[1-9](?:[ .-]?(?:\(\d{1,4}\)|\d)){4,14}(?!\w)")
+# Country codes of one and two digits; all others have three.
+_COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 _DAY_ONE, _DAY_LAST = date(1900, 1, 1).toordinal(), date(2099, 12, 31).toordinal()
 
 
@@ -116,7 +124,7 @@ def _ssn(key, text):
 def _read_date(text):
     """(order of year, month, day; the date); day first only where month first is no date."""
     numbers = [int(x) for x in re.findall(r"\d+", text)]
-    orders = ("ymd",) if text[4] == "-" else ("dmy",) if text[2] == "." else ("mdy", "dmy")
+    orders = ("ymd",) if text[4] in "-/." else ("dmy",) if text[2] == "." else ("mdy", "dmy")
     for order in orders:
         by = dict(zip(order, numbers))
         try:
@@ -132,7 +140,7 @@ def _date(key, text):
     if known is None:
         return None
     order, found = known
-    only_late = order == "dmy" and text[2] == "/"  # stays readable one way only
+    only_late = order == "dmy" and text[2] in "/-"  # stays readable one way only
     fits = (lambda v: (date(1900, 1, 1) + timedelta(v)).day > 12) if only_late else (lambda v: True)
     kind = "date-late" if only_late else "date"
     new = date(1900, 1, 1) + timedelta(
@@ -144,6 +152,15 @@ def _date(key, text):
 
 def _phone(key, text):
     digits = re.sub(r"\D", "", text)
+    if text[0] == "+" and len(digits) <= 10:
+        if len(digits) < 8:
+            return None
+        country = _COUNTRY.match(digits)[0]
+        width = len(digits) - len(country)
+        new = permute(key, f"phone{country}", int(digits[len(country) :]), 10**width)
+        return _refill(text, country + str(new).zfill(width))
+    if len(digits) > 15:
+        return None
     country, national = digits[:-10], digits[-10:]
     fits = (lambda v: v // 10**9 > 1 and v // 10**6 % 10 > 1) if national[0] > "1" and national[3] > "1" else (
         lambda v: not (v // 10**9 > 1 and v // 10**6 % 10 > 1)
@@ -214,6 +231,13 @@ def _found(text: str) -> list[tuple[int, int, str]]:
                 kind = "phone" if pattern is _PHONE_LEAD else next(k for k in KINDS[1:] if m[k])
                 spans.append((m.start(), m.end(), kind))
         taken = spans[:]
+    if "+" in text:
+        for m in _PHONE_ABROAD.finditer(text):
+            # Ends before what another pattern has taken.
+            stop = min((a for a, b, _ in taken if b > m.start()), default=m.end())
+            m = m if stop >= m.end() else _PHONE_ABROAD.match(text, m.start(), stop)
+            if m:
+                spans.append((m.start(), m.end(), "phone"))
     return sorted(spans)
 
 

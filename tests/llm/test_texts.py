@@ -262,3 +262,18 @@ def test_short_sections_and_lists_of_sources_stay():
     assert found == [long_p] * 10 + [short_p, "Sources", *listed]
     marked = f"<body>{menu}<article><p>{long_p}</p><h2>Sources</h2><ul>{sources}</ul><ul class=related>{sources}</ul></article></body>"
     assert main_text.main_text(marked).split("\n\n") == [long_p, "Sources", *listed]
+
+
+def test_further_layouts_of_numbers():
+    cases = [
+        ("+44 20 7946 0958", "phone"), ("+33 1 23 45 67 89", "phone"), ("+47 22 33 44 55", "phone"), ("+49 (30) 1234567", "phone"),
+        ("3782 822463 10005", "card"), ("3782-822463-10005", "card"),
+        ("2024/02/29", "date"), ("2024.02.29", "date"), ("29-02-2024", "date"), ("02-29-2024", "date"),
+    ]
+    for value, kind in cases:
+        text, spans = pseudonyms.pseudonymise_text(f"so {value}, then")
+        assert [s[2] for s in spans] == [kind] and value not in text, value
+        new = text[spans[0][0] : spans[0][1]]
+        assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value) and pseudonyms.pseudonym(pseudonyms.KEY, kind, new)
+    text, spans = pseudonyms.pseudonymise_text("+44 20 7946 0958 4524132264652876 and +1234567")
+    assert [s[2] for s in spans] == ["phone", "card"] and text.endswith(" and +1234567")
