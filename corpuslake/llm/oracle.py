@@ -1,5 +1,7 @@
 """DuckDB SQL of the operators that SQL can express."""
 
+from corpuslake.llm import centroid_clusters as cc
+from corpuslake.llm import fill_in_middle as fim
 from corpuslake.llm import mixing as m
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -121,8 +123,79 @@ MIXING = f"""
     FROM placed p LEFT JOIN taken t ON t.sid = p.sid AND t.first = p.first AND p.size > 0
 """
 
+_P, _S, _M = (f"'{marker.decode()}'" for marker in (fim.PREFIX, fim.SUFFIX, fim.MIDDLE))
+
+
+def _drawn(group: int) -> str:
+    return f"('0x' || substr(sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')), {8 * group + 1}, 8))::BIGINT"
+
+
+FILL_IN_MIDDLE = rf"""
+    WITH units AS (
+        SELECT doc_id, coalesce(text, '') AS text, {", ".join(f"{_drawn(g)} AS h{g + 1}" for g in range(4))},
+            regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS u
+        FROM documents
+    ), cuts AS (
+        SELECT *, len(u)::BIGINT AS n, least(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS a,
+            greatest(h1 % (len(u) + 1), h2 % (len(u) + 1)) AS b,
+            CASE WHEN text = '' OR contains(text, {_P}) OR contains(text, {_S}) OR contains(text, {_M})
+                OR h3 % 100 >= {fim.SHARE} THEN 'plain' WHEN h4 % 100 < {fim.SPM_SHARE} THEN 'spm' ELSE 'psm' END AS form
+        FROM units
+    ), parts AS (
+        SELECT *, array_to_string(u[1 : a], '') AS prefix, array_to_string(u[a + 1 : b], '') AS middle,
+            array_to_string(u[b + 1 : n], '') AS suffix FROM cuts
+    )
+    SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+        CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN {_P} || prefix || {_S} || suffix || {_M} || middle
+            ELSE {_S} || suffix || {_P} || prefix || {_M} || middle END) AS output_sha256,
+        sha256(text) AS restored_sha256
+    FROM parts
+"""
+
+
+def _clustered() -> str:
+    """Lloyd's rounds one after another; vectors are rows of (vec_id, row, x), centroids (c, y)."""
+    distance = (
+        "list_sum(list_transform(range(1, len(x) + 1), lambda i: (x[i] - y[i]) * (x[i] - y[i])))::BIGINT"
+    )
+    steps = [
+        f"""able AS (
+        SELECT vec_id, row_number() OVER () AS row, [floor({cc.SCALE} * v::DOUBLE)::BIGINT for v in embedding] AS x
+        FROM embeddings WHERE len(embedding) = {cc.DIMS}
+            AND len([v for v in embedding if v IS NULL OR isnan(v) OR isinf(v)]) = 0
+    )""",
+        f"""c0 AS (
+        SELECT row_number() OVER (ORDER BY h, x) - 1 AS c, x AS y FROM (
+            SELECT sha256('{cc.SEED}:' || coalesce(vec_id::VARCHAR, '')) AS h, x FROM able ORDER BY h, x LIMIT {cc.K}
+        )
+    )""",
+    ]
+    for n in range(cc.ROUNDS + 1):
+        steps.append(
+            f"""d{n} AS (SELECT row, x, c, {distance} AS d FROM able, c{n}),
+    a{n} AS (SELECT row, any_value(x) AS x, arg_min(c, (d, c)) AS c, min(d) AS d FROM d{n} GROUP BY row)"""
+        )
+        if n < cc.ROUNDS:
+            steps.append(
+                f"""p{n} AS (SELECT c, i, sum(v)::BIGINT AS s, count(*)::BIGINT AS n
+        FROM (SELECT c, unnest(x) AS v, generate_subscripts(x, 1) AS i FROM a{n}) GROUP BY c, i),
+    m{n} AS (SELECT c, list((s - ((s % n) + n) % n) // n ORDER BY i) AS y FROM p{n} GROUP BY c),
+    c{n + 1} AS (SELECT o.c, coalesce(m.y, o.y) AS y FROM c{n} o LEFT JOIN m{n} m ON m.c = o.c)"""
+            )
+    last = cc.ROUNDS
+    return f"""WITH {", ".join(steps)}
+    SELECT vec_id, c::INTEGER AS cluster, d AS distance, (sum(d) OVER (PARTITION BY c))::BIGINT AS cluster_inertia,
+        (sum(d) OVER ())::BIGINT AS inertia, sha256(array_to_string(y, ',')) AS centroid_sha256
+    FROM a{last} JOIN able USING (row) JOIN c{last} USING (c)"""
+
+
+CENTROID_CLUSTERS = _clustered()
+
 ORACLE = {
     "op3_repeated_passages": REPEATED_PASSAGES,
     "op9_embedding_groups": EMBEDDING_GROUPS,
     "op10_mixing": MIXING,
+    "op12_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_centroid_clusters": CENTROID_CLUSTERS,
 }

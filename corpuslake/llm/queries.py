@@ -5,11 +5,14 @@ from pyspark.sql import functions as F
 
 from corpuslake.llm import (
     bpe_stream,
+    centroid_clusters,
     embedding_groups,
+    fill_in_middle,
     fingerprints,
     language_filters,
     main_text,
     mixing,
+    path_templates,
     pseudonyms,
     repeated_passages,
     simhash_groups,
@@ -110,3 +113,18 @@ def op9_embedding_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.plan_mix(_table(spark, sf_dir, "documents"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_shard")
+
+
+@_query
+def op11_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return path_templates.judge(_table(spark, sf_dir, "pages"))
+
+
+@_query
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_in_middle.digests(_table(spark, sf_dir, "documents"))
+
+
+@_query
+def op13_centroid_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroid_clusters.clusters(_table(spark, sf_dir, "embeddings"))
