@@ -3,12 +3,16 @@
 Blocks of text pass points for their length and commas to their ancestors, the whole
 to the nearest, less to the next; an element's points are discounted by its share of
 linked text.  The best element (or the article around it) is kept with those siblings
-that score well themselves; on pages that mark no article, with everything of little
+that are no lists of links; on pages that mark no article, with everything of little
 linked text in the container around it.  Menus, headers, footers, sidebars, notices,
-adverts, forms, scripts, styles and reader comments are cut out of the tree first.
+adverts, forms, scripts, styles and reader comments are cut out of the tree first, by tag
+or by a word of their names; but never what the article itself stands in, whatever it is
+called, and a form around the page only loses its controls.  Names such as "has-sidebar"
+or "no-ads" say nothing of the part.  Time is linear in the page, unclosed elements included.
 """
 
 import re
+from functools import lru_cache
 from html import unescape
 
 import pyarrow as pa
@@ -19,7 +23,7 @@ from pyspark.sql import functions as F
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _RAW = frozenset("script style textarea title xmp noembed noframes".split())
 _CUT = frozenset(
-    "head nav footer aside form noscript template iframe object svg math select button dialog audio video canvas".split()
+    "head nav footer aside noscript template iframe object svg math select button dialog audio video canvas".split()
 )
 _BLOCK = frozenset(
     "address article aside blockquote body caption center dd details div dl dt fieldset figcaption figure footer form "
@@ -44,8 +48,21 @@ _FOREIGN = frozenset(
     "replies respond related recommended recommendations widget widgets pagination pager login signup search "
     "contentinfo complementary alert".split()
 )
+# Words that only say how a part is laid out, not what it holds ("comment-list" is still comments).
+_NEUTRAL = frozenset(
+    "area bar bottom box button buttons center column container content footer fixed form group header holder icon "
+    "icons inner item items label left link links list main mobile outer panel pane post posts primary region right "
+    "secondary section slot small sticky text title toggle top unit wrap wrapper zone "
+    "x div js id block bg sm md lg xl".split()
+)
+# A name that begins so tells what a page has or has not around its article.
+_STATE = frozenset("with without has have no not non is hide hides hidden show shows".split())
 _OWN = frozenset("article body content entry main post story text page".split())
 _NEVER_CUT = frozenset("html body main article".split())
+_HEADER = frozenset({"header"})
+# What may go on with the text of an article that stands in the body of the page.
+_SIBLINGS = frozenset("p section article main blockquote pre table ul ol dl figure div".split())
+_LEVELS = 24  # ancestors that a block passes points to
 _BASE = {"article": 10, "main": 8, "section": 4, "div": 5, "td": 3, "blockquote": 3, "pre": 3}
 
 _MARK = re.compile(
@@ -58,13 +75,22 @@ _TOKEN = re.compile(r"[A-Za-z][a-z]*|[A-Z]+(?![a-z])")
 
 
 class _Node:
-    __slots__ = ("tag", "parent", "cut", "heading_only", "points", "chars", "linked", "links", "names", "kept")
+    """``foreign`` is 2 where name or tag say the part is none of the article, 1 where a compound name may mean else."""
+
+    __slots__ = (
+        "tag", "parent", "names", "cut", "foreign", "gone", "heading_only", "linking", "heading", "article",
+        "points", "chars", "linked", "links", "kept", "listed",
+    )
 
     def __init__(self, tag, parent, names):
         self.tag, self.parent, self.names = tag, parent, names
         self.cut = parent.cut if parent else False
         self.heading_only = parent.heading_only if parent else False
-        self.points, self.chars, self.linked, self.links, self.kept = 0.0, 0, 0, 0, False
+        self.linking = tag == "a" or (parent.linking if parent else False)
+        self.heading = tag in _HEADINGS or (parent.heading if parent else False)
+        self.article = tag == "article" or (parent.article if parent else False)
+        self.foreign, self.gone = 0, False
+        self.points, self.chars, self.linked, self.links, self.kept, self.listed = 0.0, 0, 0, 0, False, False
 
     def inside(self, tags):
         node = self
@@ -75,106 +101,136 @@ class _Node:
         return None
 
 
-def _names(attributes: str) -> frozenset:
+@lru_cache(maxsize=4096)
+def _names(attributes: str):
+    """``(all words, strangeness as a header, strangeness as a foreign part)`` of class, id and role."""
     if "=" not in attributes:
-        return frozenset()
-    found = [m[2].strip("\"'") for m in _NAMED.finditer(attributes)]
-    return frozenset(t.lower() for value in found for t in _TOKEN.findall(value))
+        return frozenset(), 0, 0
+    found = [name for m in _NAMED.finditer(attributes) for name in m[2].strip("\"'").split()]
+    parts = [[t.lower() for t in _TOKEN.findall(name)] for name in found]
+    parts = [words for words in parts if words and words[0] not in _STATE]
+    words = frozenset(w for words in parts for w in words)
+    return words, _strangeness(parts, _HEADER), _strangeness(parts, _FOREIGN)
+
+
+def _strangeness(parts, strange) -> int:
+    """2 if a name is of the strange words, alone, as its last word or among neutral ones; 1 if it only holds one."""
+    most = 0
+    for words in parts:
+        if any(w in strange for w in words):
+            plain = words[-1] in strange or all(w in strange or w in _NEUTRAL for w in words)
+            most = max(most, 2 if plain else 1)
+    return most
 
 
 class _Page:
-    """Tree of a page and its blocks ``[owner, text, linked characters]`` in page order."""
+    """Tree of a page and its blocks ``[owner, text, linked characters]`` in page order.
+
+    Stack positions of the open elements are kept by tag, so that no unclosed element is
+    walked over twice.
+    """
 
     def __init__(self, html: str):
-        self.nodes, self.blocks = [], []
-        self.parts, self.linked = [], 0
-        self.stack = [self._node("html", None, frozenset())]
+        self.nodes, self.runs = [], []
+        self.parts = []
+        self.stack, self.at, self.block_at = [], {}, []
+        self._push(self._node("html", None, frozenset()))
         self.read(html)
+        self.resolve()
+        self.blocks = list(self._blocks())
 
     def _node(self, tag, parent, names):
         node = _Node(tag, parent, names)
         self.nodes.append(node)
         return node
 
+    def _push(self, node):
+        self.at.setdefault(node.tag, []).append(len(self.stack))
+        if node.tag in _BLOCK:
+            self.block_at.append(len(self.stack))
+        self.stack.append(node)
+
+    def _cut_to(self, size):
+        while len(self.stack) > size:
+            node = self.stack.pop()
+            self.at[node.tag].pop()
+            if node.tag in _BLOCK:
+                self.block_at.pop()
+
+    def _last(self, *tags) -> int:
+        """Stack position of the innermost open element of these tags, -1 if there is none."""
+        return max((self.at[t][-1] for t in tags if self.at.get(t)), default=-1)
+
     def flush(self):
         if self.parts:
-            text = " ".join("".join(self.parts).split())
-            if text:
-                owner = self.stack[-1]
-                while owner.tag not in _BLOCK:
-                    owner = owner.parent
-                self.blocks.append((owner, text, min(self.linked, len(text))))
-            self.parts, self.linked = [], 0
+            self.runs.append((self.stack[self.block_at[-1]], self.parts))
+            self.parts = []
 
     def text(self, raw):
         top = self.stack[-1]
-        if top.cut or (top.heading_only and not top.inside(_HEADINGS)):
+        if top.cut or (top.heading_only and not top.heading):
             return
-        value = unescape(raw) if "&" in raw else raw
-        self.parts.append(value)
-        if top.inside(("a",)):
-            self.linked += len(value.strip())
+        self.parts.append((top, unescape(raw) if "&" in raw else raw))
+
+    def _blocks(self):
+        for owner, parts in self.runs:
+            kept = [(node, value) for node, value in parts if not node.gone]
+            text = " ".join("".join(value for _, value in kept).split())
+            if text:
+                linked = sum(len(value.strip()) for node, value in kept if node.linking)
+                yield owner, text, min(linked, len(text))
 
     def open(self, tag, attributes):
         if tag == "br":
-            self.parts.append(" ")
+            self.parts.append((self.stack[-1], " "))
+            return
+        if tag in ("html", "body") and self.at.get(tag):
             return
-        if tag in ("html", "body", "head") and tag != "head":
-            for node in self.stack:
-                if node.tag == tag:
-                    return
         if tag in _BLOCK:
             self.flush()
             self.end_paragraph()
         if tag in _ENDS:
             ended, bounds = _ENDS[tag]
-            for k in range(len(self.stack) - 1, 0, -1):
-                if self.stack[k].tag in bounds:
-                    break
-                if self.stack[k].tag in ended:
-                    self.flush()
-                    del self.stack[k:]
-                    break
+            found = self._last(*ended)
+            if found > max(self._last(*bounds), 0):
+                self.flush()
+                self._cut_to(found)
         if tag in _VOID:
             return
-        if tag == "body" and any(n.tag == "head" for n in self.stack):
-            del self.stack[1:]
-        node = self._node(tag, self.stack[-1], _names(attributes))
+        if tag == "body" and self.at.get("head"):
+            self._cut_to(1)
+        words, as_header, as_foreign = _names(attributes)
+        node = self._node(tag, self.stack[-1], words)
         if tag not in _NEVER_CUT:
-            page_head = tag == "header" or ("header" in node.names and tag in _BLOCK and tag not in _HEADINGS)
-            if page_head:
-                if node.parent.inside(("article",)):
-                    node.heading_only = True
-                else:
-                    node.cut = True
-            elif tag in _CUT or node.names & _FOREIGN:
+            head = 2 if tag == "header" else as_header if tag in _BLOCK and tag not in _HEADINGS else 0
+            if head and node.parent.article:
+                node.heading_only = True
+            elif head:
+                node.foreign = head
+            elif tag in _CUT:
                 node.cut = True
+            else:
+                node.foreign = 1 if tag == "form" else as_foreign
         elif tag == "article" and node.names & {"comment", "comments", "related", "ad", "advert", "sponsored"}:
             node.cut = True
-        if tag == "a":
-            up = node.parent
-            while up:
-                up.links += 1
-                up = up.parent
-        self.stack.append(node)
+        if tag == "a" and node.parent:
+            node.parent.links += 1
+        self._push(node)
 
     def end_paragraph(self):
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == "p":
-                del self.stack[k:]
-                return
-            if self.stack[k].tag in _BLOCK:
-                return
+        if self.block_at and self.stack[self.block_at[-1]].tag == "p":
+            self._cut_to(self.block_at[-1])
 
     def close(self, tag):
-        for k in range(len(self.stack) - 1, 0, -1):
-            if self.stack[k].tag == tag:
-                if any(n.tag in _BLOCK for n in self.stack[k:]):
-                    self.flush()
-                del self.stack[k:]
-                return
-            if tag not in _BLOCK and self.stack[k].tag in _BLOCK:
-                return  # an inline end tag does not close blocks
+        found = self._last(tag)
+        if found < 1:
+            return
+        blocks_inside = self.block_at and self.block_at[-1] >= found
+        if blocks_inside and tag not in _BLOCK:
+            return  # an inline end tag does not close blocks
+        if blocks_inside:
+            self.flush()
+        self._cut_to(found)
 
     def read(self, html):
         at, size = 0, len(html)
@@ -202,18 +258,65 @@ class _Page:
                     self.close(tag)
         self.flush()
 
+    def resolve(self):
+        """Decides which foreign parts go: none that the article itself stands in.
+
+        If all articles stand in foreign parts, the one with most running text stays with
+        what it stands in, if it has more than the page has elsewhere.  On a page without
+        one, parts of doubtful names and forms stay where they hold most of the text.
+        """
+        running = {}
+        for _, parts in self.runs:
+            for node, value in parts:
+                if not node.linking:
+                    running[node] = running.get(node, 0) + len(value.strip())
+        amount = [0, 0, 0]  # running text by strangeness
+        strange = {}  # the greatest strangeness of a node and what it stands in
+        below, doubtful = {}, {}  # running text of a node and of what stands in it; that without foreign parts
+        for node in self.nodes:
+            strange[node] = max(node.foreign, strange[node.parent] if node.parent else 0)
+            below[node] = running.get(node, 0)
+            amount[strange[node]] += below[node]
+            doubtful[node] = below[node] if strange[node] < 2 else 0
+        for node in reversed(self.nodes):
+            if node.parent:
+                below[node.parent] += below[node]
+                doubtful[node.parent] += doubtful[node]
+        articles = [n for n in self.nodes if n.tag in ("article", "main") and not n.cut and below[n]]
+        if articles and all(strange[n] for n in articles):
+            best = max(articles, key=below.get)
+            if below[best] > amount[0]:
+                node = best
+                while node:
+                    node.foreign = 0
+                    node = node.parent
+        elif not articles and amount[0] < amount[1]:
+            for node in self.nodes:
+                if node.foreign == 1 and 2 * doubtful[node] > amount[1]:
+                    node.foreign = 0
+        for node in self.nodes:
+            # A doubtful name within an article means something else if it holds most of it.
+            around = node.parent and node.parent.inside(("article",)) if node.foreign == 1 and node.article else None
+            if around and 2 * below[node] > below[around]:
+                node.foreign = 0
+            node.gone = node.foreign > 0 or (node.parent.gone if node.parent else False)
+
     def score(self):
         for owner, text, linked in self.blocks:
             points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - linked / len(text))
-            node = owner
-            while node:
-                node.chars += len(text)
-                node.linked += linked
-                node = node.parent
+            owner.chars += len(text)
+            owner.linked += linked
             node, level = (owner.parent if owner.tag == "p" or owner.tag in _HEADINGS or owner.tag == "li" else owner), 0
-            while node:
+            while node and level < _LEVELS:
                 node.points += points / (1 if level == 0 else 2 if level == 1 else 3 * level)
                 node, level = node.parent, level + 1
+        for node in reversed(self.nodes):  # children come after their parents
+            if node.parent:
+                node.parent.chars += node.chars
+                node.parent.linked += node.linked
+                node.parent.links += node.links
+        for node in self.nodes:
+            node.listed = self.menu(node) or (node.parent.listed if node.parent else False)
 
     def worth(self, node):
         if not node.chars:
@@ -232,20 +335,22 @@ class _Page:
             return []
         best = max(open_nodes, key=self.worth)
         top = best.inside(("article",)) or best.inside(("main",)) or best
-        level = max(self.worth(best), self.worth(top))
         top.kept = True
         if top.tag not in ("article", "main"):
             return self._around(top)
         for node in self.nodes:
-            if node.parent is top.parent and node is not top and node.chars and not node.cut:
-                dense = node.linked / node.chars
-                if node.tag in _HEADINGS and top.tag != "article":
-                    node.kept = True
-                elif node.tag == "p" and (dense < 0.25 and node.chars > 80):
-                    node.kept = True
-                elif node.tag not in ("p", *_HEADINGS) and dense < 0.25 and self.worth(node) >= max(10.0, 0.2 * level):
-                    node.kept = True
-        return [text for owner, text, _ in self.blocks if self._kept(owner)]
+            if node.parent is top.parent and node is not top and node.chars:
+                if node.tag in _HEADINGS:
+                    node.kept = top.tag != "article"
+                elif top.parent.tag not in ("html", "body") or node.tag in _SIBLINGS:
+                    node.kept = node.linked / node.chars < 0.25
+        self._spread()
+        return [text for owner, text, _ in self.blocks if owner.kept]
+
+    def _spread(self):
+        """What stands in a kept element is kept."""
+        for node in self.nodes:
+            node.kept = node.kept or bool(node.parent and node.parent.kept)
 
     def _around(self, top) -> list[str]:
         """Blocks of ``top`` and what has few links in the container that it shares with other text."""
@@ -255,40 +360,23 @@ class _Page:
         for node in self.nodes:
             if node.parent is top.parent and node.chars and (node.tag in _HEADINGS or node.linked / node.chars < 0.25):
                 node.kept = True
+        self._spread()
+        below = set()
+        for node in self.nodes:
+            if node is top.parent or node.parent in below:
+                below.add(node)
         found, begun = [], False
         for owner, text, linked in self.blocks:
-            few, listed = linked / len(text) < 0.25, self._listed(owner)
+            few = linked / len(text) < 0.25
             # Lists of links beside the text belong to it, but not those straight in the body of the page.
-            fits = few or (listed and top.parent and top.parent.tag not in ("html", "body"))
-            inside = self._kept(owner) or (fits and top.parent and self._below(owner, top.parent))
+            fits = few or (owner.listed and top.parent and top.parent.tag not in ("html", "body"))
+            inside = owner.kept or (fits and owner in below)
             # Where no article is marked, a list of links before its first text is a menu.
-            if inside and (begun or not listed):
+            if inside and (begun or not owner.listed):
                 found.append(text)
                 begun = begun or few
         return found
 
-    def _listed(self, owner) -> bool:
-        node = owner
-        while node:
-            if self.menu(node):
-                return True
-            node = node.parent
-        return False
-
-    @staticmethod
-    def _below(owner, container) -> bool:
-        node = owner
-        while node and node is not container:
-            node = node.parent
-        return node is container
-
-    @staticmethod
-    def _kept(owner) -> bool:
-        node = owner
-        while node and not node.kept:
-            node = node.parent
-        return node is not None
-
 
 def main_text(html: str | None) -> str:
     """Blocks of the main text, two line ends between them; empty if there is none."""

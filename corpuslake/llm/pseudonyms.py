@@ -4,7 +4,12 @@ A validated value is read as a number below the size of its format's domain, sen
 through a keyed Feistel network with cycle walking, and written back in the same
 layout: cards keep a right check digit, dates stay dates, octets keep their length.
 The permutation depends only on key, kind and value, so equal values stay linked in
-all documents and two different ones never become equal.
+all documents and two different ones never become equal.  Each round draws as many bits
+as half the domain has, so no part of a long value stays.  Letters and digits beyond
+``CHUNK`` follow in chunks of their own, each permuted under what became of those before.
+
+All layouts of a date share one permutation of days.  A date that is readable only with
+the day first stays so if its new day allows it, and else is written month first.
 
 Not found: dates with one-digit days or months, two-digit years, names of months or
 years outside 1900 to 2099; phones without a plus sign other than 3-3-4; cards in
@@ -13,8 +18,10 @@ groups other than 4-4-4-n and 4-6-4 or 4-6-5.
 
 import hmac
 import re
-from datetime import date, timedelta
+from bisect import bisect_left, bisect_right
+from datetime import date
 from functools import lru_cache
+from hashlib import sha256, shake_256
 from math import isqrt
 
 import pandas as pd
@@ -23,10 +30,11 @@ from pyspark.sql import functions as F
 
 KINDS = ("email", "phone", "card", "ip", "ssn", "iban", "date")
 ROUNDS = 8
+CHUNK = 64  # letters and digits that are permuted as one number
 KEY = b"documented default key; pass your own"
 
 _EMAIL_AT = re.compile(r"@(?:[A-Za-z0-9-]+\.)+[A-Za-z]{2,}(?![A-Za-z0-9-])")
-_LOCAL = re.compile(r"[A-Za-z0-9._%+-]{1,64}\Z")
+_LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _NUMBER = re.compile(
     r"(?<![\w@])(?:"
     r"(?P<ip>\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3})(?![\d]|\.\d)"
@@ -50,11 +58,13 @@ def permute(key: bytes, kind: str, value: int, size: int) -> int:
     if size < 2:
         return value
     side = isqrt(size - 1) + 1
+    wide = (side.bit_length() + 64 + 7) // 8  # 64 bits more than the side has, so that the remainder is even
     while True:
         left, right = divmod(value, side)
         for turn in range(ROUNDS):
             mixed = hmac.digest(key, f"{kind}|{size}|{turn}|{right}".encode(), "sha256")
-            left, right = right, (left + int.from_bytes(mixed[:16], "big")) % side
+            drawn = mixed[:16] if wide <= 16 else shake_256(mixed).digest(wide)
+            left, right = right, (left + int.from_bytes(drawn, "big")) % side
         value = left * side + right
         if value < size:
             return value
@@ -140,12 +150,10 @@ def _date(key, text):
     if known is None:
         return None
     order, found = known
-    only_late = order == "dmy" and text[2] in "/-"  # stays readable one way only
-    fits = (lambda v: (date(1900, 1, 1) + timedelta(v)).day > 12) if only_late else (lambda v: True)
-    kind = "date-late" if only_late else "date"
-    new = date(1900, 1, 1) + timedelta(
-        _permute_where(key, kind, found.toordinal() - _DAY_ONE, _DAY_LAST - _DAY_ONE + 1, fits)
-    )
+    new = _DAY_ONE + permute(key, "date", found.toordinal() - _DAY_ONE, _DAY_LAST - _DAY_ONE + 1)
+    new = date.fromordinal(new)
+    if order == "dmy" and text[2] in "/-" and new.day <= 12:
+        order = "mdy"  # month first is how such a date is read
     by = {"y": f"{new.year:04d}", "m": f"{new.month:02d}", "d": f"{new.day:02d}"}
     return _refill(text, "".join(by[x] for x in order))
 
@@ -185,6 +193,16 @@ def _iban(key, text):
 
 def _by_class(key: bytes, kind: str, text: str) -> str:
     """Permutes digits, small and capital letters within their classes, other characters stay."""
+    new, begun = [], sha256()
+    for at in range(0, len(text), CHUNK):
+        # The first chunk of a short text has the plain name of its kind.
+        name = kind if len(text) <= CHUNK else f"{kind}{len(text)}:{at}:{begun.hexdigest()}:"
+        new.append(_chunk_by_class(key, name, text[at : at + CHUNK]))
+        begun.update(new[-1].encode())
+    return "".join(new)
+
+
+def _chunk_by_class(key: bytes, kind: str, text: str) -> str:
     classes = [(10, "0") if c.isdigit() else (26, "a") if "a" <= c <= "z" else (26, "A") if "A" <= c <= "Z" else (1, c) for c in text]
     value, size = 0, 1
     for c, (span, base) in zip(text, classes):
@@ -214,31 +232,44 @@ def pseudonym(key: bytes, kind: str, text: str) -> str | None:
     return _WRITERS[kind](key, text)
 
 
+def _free(taken: list, start: int, end: int) -> bool:
+    """Whether ``start`` to ``end`` overlaps none of the spans, which are in order and apart."""
+    at = bisect_left(taken, (end,))
+    return not at or taken[at - 1][1] <= start
+
+
 def _found(text: str) -> list[tuple[int, int, str]]:
     """Spans that look like a kind, in order and without overlap; mail addresses first."""
     spans = []
     if "@" in text:
+        done = 0
         for at in _EMAIL_AT.finditer(text):
-            local = _LOCAL.search(text, max(0, at.start() - 64), at.start())
-            if local:
-                start = local.start() + len(local[0]) - len(local[0].lstrip(".%+-"))
-                if start < at.start() and (not spans or spans[-1][1] <= start):
-                    spans.append((start, at.end(), "email"))
-    taken = spans[:]
+            start = at.start()
+            while start > done and text[start - 1] in _LOCAL:
+                start -= 1
+            while start < at.start() and text[start] in ".%+-":
+                start += 1
+            if start < at.start():
+                spans.append((start, at.end(), "email"))
+            done = at.end()
     for pattern in (_NUMBER, _PHONE_LEAD):
+        more = []
         for m in pattern.finditer(text):
-            if not any(a < m.end() and m.start() < b for a, b, _ in taken):
+            if _free(spans, m.start(), m.end()):
                 kind = "phone" if pattern is _PHONE_LEAD else next(k for k in KINDS[1:] if m[k])
-                spans.append((m.start(), m.end(), kind))
-        taken = spans[:]
+                more.append((m.start(), m.end(), kind))
+        spans = sorted(spans + more)
     if "+" in text:
+        ends, more = [b for _, b, _ in spans], []
         for m in _PHONE_ABROAD.finditer(text):
             # Ends before what another pattern has taken.
-            stop = min((a for a, b, _ in taken if b > m.start()), default=m.end())
-            m = m if stop >= m.end() else _PHONE_ABROAD.match(text, m.start(), stop)
+            after = bisect_right(ends, m.start())
+            if after < len(spans) and spans[after][0] < m.end():
+                m = _PHONE_ABROAD.match(text, m.start(), spans[after][0])
             if m:
-                spans.append((m.start(), m.end(), "phone"))
-    return sorted(spans)
+                more.append((m.start(), m.end(), "phone"))
+        spans = sorted(spans + more)
+    return spans
 
 
 _SOME = re.compile(r"[0-9@]")

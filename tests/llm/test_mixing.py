@@ -86,7 +86,7 @@ def test_mixed_documents_hold_what_the_plan_takes(spark):
     got, copies = Counter(), Counter()
     texts = {}
     for i, t, *_ in awkward_rows():
-        texts.setdefault(i, set()).update((t or "").split())
+        texts.setdefault(i, set()).update(w.decode() for w in (t or "").encode().split())
     for r in mixed.collect():
         words = r.text.split(" ")
         got[r.doc_id] += len(words)

@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from hashlib import sha256
 
 import public_tokenizers
@@ -277,3 +278,109 @@ def test_further_layouts_of_numbers():
         assert re.sub(r"\d", "0", new) == re.sub(r"\d", "0", value) and pseudonyms.pseudonym(pseudonyms.KEY, kind, new)
     text, spans = pseudonyms.pseudonymise_text("+44 20 7946 0958 4524132264652876 and +1234567")
     assert [s[2] for s in spans] == ["phone", "card"] and text.endswith(" and +1234567")
+
+
+# -- main text within wrappers, and long pages -------------------------------------
+
+ARTICLE = "<article><h1>T</h1>" + "<p>" + "word, and more words here. " * 45 + "</p></article>"
+WRAPPERS = [
+    '<div class="layout with-sidebar">%s</div>',
+    '<div class="has-sidebar">%s</div>',
+    '<div class="content no-ads">%s</div>',
+    '<div class="page search-results">%s</div>',
+    '<div class="social-science">%s</div>',
+    '<form id="aspnetForm"><input name="x">%s<button>Go</button></form>',
+    '<div class="sidebar">%s</div>',
+    '<header>%s</header>',
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+def test_the_article_stays_whatever_its_wrapper_is_called(wrapper):
+    page = f'<body><nav><a href="x">Home</a></nav>{wrapper % ARTICLE}<div class="comments"><p>{"bla " * 3000}</p></div></body>'
+    wanted = "T\n\n" + ("word, and more words here. " * 45).strip()
+    assert main_text.main_text(page) == wanted
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS[:6])
+def test_text_without_an_article_element_stays_in_its_wrapper(wrapper):
+    page = f'<body>{wrapper % ARTICLE.replace("article", "div")}<div class="comment-list"><p>{"bla " * 3000}</p></div></body>'
+    assert "word, and more" in main_text.main_text(page) and "bla" not in main_text.main_text(page)
+
+
+def test_foreign_parts_within_an_article_still_go():
+    inner = '<div class="ad">Buy</div><div class="share-buttons">Send</div><p class="cookie-notice">Cookies</p><p>Kept, yes.</p>'
+    text = main_text.main_text(f'<div class="has-sidebar">{ARTICLE.replace("</article>", inner + "</article>")}<div class="sidebar">More</div></div>')
+    assert text.endswith("Kept, yes.") and not any(w in text for w in ("Buy", "Send", "Cookies", "More"))
+    inline = '<article><p>Some <span class="ad">Buy</span> text, and <b>more</b>.</p></article>'
+    assert main_text.main_text(inline) == "Some text, and more."
+
+
+def test_short_paragraphs_beside_an_article_stay():
+    page = "<main><article><p>Long enough, it seems, to be read.</p></article><p>Short.</p><ul><li><a href='x'>a</a></li></ul></main>"
+    assert main_text.main_text(page) == "Long enough, it seems, to be read.\n\nShort."
+
+
+@pytest.mark.parametrize("open_tag", ["<div>", "<p>", "<a href=x>", "<b>", "<li>", "<td>", "<ul><b>", "<span><div>"])
+def test_unclosed_elements_take_linear_time(open_tag):
+    start = time.process_time()
+    text = main_text.main_text("<article>" + (open_tag + "some text, here ") * 50_000)
+    assert text.count("some text, here") == 50_000
+    assert time.process_time() - start < 6  # 0.5 to 2 s; a quadratic walk takes minutes
+    start = time.process_time()
+    main_text.main_text("<ul>" + "<b>" * 10_000 + "<li>x</li>" * 10_000 + "</i>" * 20_000)
+    assert time.process_time() - start < 6
+
+
+# -- pseudonyms of long values and dates ---------------------------------------------
+
+
+@pytest.mark.parametrize("length", [30, 55, 64, 65, 100, 128, 200, 300, 5000])
+def test_no_part_of_a_long_mail_address_stays(length):
+    rng = random.Random(length)
+    local = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(length))
+    address = f"{local}@{local[::-1]}.example.com"
+    text, spans = pseudonyms.pseudonymise_text(f"write to {address}, please")
+    (start, stop, kind), = spans
+    new = text[start:stop]
+    assert kind == "email" and len(new) == len(address) and new.endswith(".com")
+    assert text == f"write to {new}, please"
+    # Letters agree by chance only, in every part of the address.
+    for at in range(0, length, 30):
+        part = range(at, min(at + 30, length))
+        assert sum(new[k] == address[k] for k in part) <= 8
+    assert new[:8] != address[:8]
+    assert pseudonyms.pseudonymise_text(f"again {address}")[0] == f"again {new}"
+
+
+def test_long_values_are_permuted_one_to_one():
+    words = {f"{a}{'x' * 70}{b}" for a in "abcdef" for b in "uvwxyz"}
+    assert len({pseudonyms._by_class(b"k", "email", w) for w in words}) == len(words)
+
+
+def test_layouts_of_a_date_stay_linked():
+    order = ((r"(\d{4})[-/.](\d\d)[-/.](\d\d)", "ymd"), (r"(\d\d)\.(\d\d)\.(\d{4})", "dmy"))
+
+    def read(text):
+        for pattern, places in order:
+            m = re.fullmatch(pattern, text)
+            if m:
+                by = dict(zip(places, map(int, m.groups())))
+                return by["y"], by["m"], by["d"]
+        m = re.fullmatch(r"(\d\d)[-/](\d\d)[-/](\d{4})", text)
+        a, b, year = map(int, m.groups())
+        return (year, a, b) if a <= 12 else (year, b, a)
+
+    for day in range(13, 32):
+        layouts = [f"1999-05-{day}", f"1999/05/{day}", f"{day}.05.1999", f"{day}/05/1999", f"{day}-05-1999", f"05/{day}/1999"]
+        found = {read(pseudonyms.pseudonym(b"k", "date", text)) for text in layouts}
+        assert len(found) == 1
+
+
+def test_many_values_in_one_text_take_linear_time():
+    rng = random.Random(1)
+    values = [f"a{n}@example.org +1 (269) 555-{n % 10000:04d} {rng.randrange(10**9)}" for n in range(8000)]
+    start = time.process_time()
+    _, spans = pseudonyms.pseudonymise_text(" ".join(values))
+    assert len(spans) >= 16_000
+    assert time.process_time() - start < 4  # 16,000 values; comparing all with all took 14 s
