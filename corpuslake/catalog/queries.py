@@ -1,6 +1,6 @@
 """One query per operator: ``(spark, sf_dir) -> DataFrame`` over the benchmark tables."""
 
-from functools import reduce
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -14,7 +14,7 @@ from corpuslake.functions.text import chunk_overlap, local_date, tokens, url_key
 from corpuslake.operators import bm25, changes, chunks, documents, enrich, merge, reports, sitemap
 from corpuslake.operators.common import keep_last, union_all
 from corpuslake.plans import jobs
-from corpuslake.sources import readers, writers
+from corpuslake.sources import readers, snapshots, writers
 from corpuslake.sources.lake import Lake
 from corpuslake.sources.scratch import checkpointed, scratch_path
 from corpuslake.streaming.feed import start_change_feed
@@ -48,6 +48,18 @@ def sitemap_funnel(spark, d):
     return sitemap.sitemap_funnel(fx.sitemap_texts(spark, d), fx.BASE_URL, **fx.FILTERS)
 
 
+@query
+def sitemap_pattern(spark, d):
+    """Elements of other names, found by a pattern of their own; two counts and the page list."""
+    texts = fx.sitemap_texts(spark, d).withColumn(
+        "value", F.replace(F.replace("value", F.lit("loc>"), F.lit("place>")), F.lit("lastmod>"), F.lit("day>"))
+    )
+    pattern = r"<place>(.*?)</place>.*?<day>(.*?)</day>"
+    pages = sitemap.process_sitemap(texts, fx.BASE_URL, pattern=pattern, **fx.FILTERS)
+    funnel = sitemap.sitemap_funnel(texts, fx.BASE_URL, pattern=pattern, **fx.FILTERS)
+    return pages.withColumn("safe", funnel.select("safe").scalar())
+
+
 @query
 def sitemap_parse(spark, d):
     return _entries(spark, d)
@@ -226,6 +238,27 @@ def diff_snapshots_job(spark, d):
     return report.drop("message")
 
 
+def _stored_snapshots(spark, d):
+    path = scratch_path(spark, "snapshots")
+    for version in (0, 1, 2):
+        snapshots.write_snapshot(fx.snapshot(spark, d, version), path, version, digits=1)
+    return path
+
+
+@query
+def diff_stored_job(spark, d):
+    """The snapshot job over bucketed snapshots."""
+    report = jobs.diff_stored_snapshots(spark, _stored_snapshots(spark, d), scratch_path(spark, "changes"), fx.CHANGE_TS)
+    return report.drop("message")
+
+
+@query
+def diff_changed_buckets(spark, d):
+    """All changes, from the buckets whose digests differ."""
+    found = snapshots.diff_changed_buckets(spark, _stored_snapshots(spark, d), 1, 2)
+    return found.where("change_type <> 'unchanged'")
+
+
 # -- pages --------------------------------------------------------------------------
 
 
@@ -305,7 +338,9 @@ def enriched_csv_scan(spark, d):
 @query
 def enriched_sink(spark, d):
     lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
-    lake.commit({"pages": lake.stage("pages", _enriched(spark, d))}, "load")
+    lake.begin("load")
+    lake.append("pages", _enriched(spark, d))
+    lake.commit("load")
     return lake.read("pages")
 
 
@@ -322,13 +357,6 @@ def read_or_empty(spark, d):
     return union_all(fx.page_list(spark, d), absent)
 
 
-@query
-def generic_write_read(spark, d):
-    path = scratch_path(spark, "generic")
-    writers.write_any(fx.table(spark, d, "labels"), path, "orc")
-    return readers.read_any(spark, path, "orc")
-
-
 @query
 def listing_scan(spark, d):
     path = scratch_path(spark, "listing")
@@ -361,13 +389,33 @@ def chunk_multi_size(spark, d):
 
 @query
 def chunk_raw_text(spark, d):
-    """Uncollapsed text, so line breaks split before blanks do.  No SQL check; see tests."""
+    """Uncollapsed text, so line breaks split before blanks do."""
     raw = fx.table(spark, d, "documents").select(
         F.md5(F.col("doc_id").cast("string")).alias("id"), F.col("text").alias("extracted_content")
     )
     return chunks.chunk_pages(raw, min_length=0).select("unique_id", "len", "text")
 
 
+def _words_in(text):
+    return len(text.split())
+
+
+@query
+def chunk_token_length(spark, d):
+    """Chunks of at most 96 tokens, 50 of them shared with the one before; a token is a word."""
+    return chunks.chunk_pages(fx.corpus(spark, d), sizes=(96,), min_length=0, length=_words_in).select(
+        "unique_id", "chunk_size", "text"
+    )
+
+
+@query
+def chunk_null_text(spark, d):
+    """Pages without text give no chunk."""
+    some = F.when(F.col("doc_id") % 7 != 0, F.col("extracted_content"))
+    pages = fx.corpus(spark, d).withColumn("extracted_content", some)
+    return chunks.chunk_pages(pages).select("unique_id", "len")
+
+
 @query
 def chunk_stats(spark, d):
     rows = chunks.chunk_pages(fx.corpus(spark, d), sizes=(128, 256))
@@ -859,6 +907,101 @@ def incremental_vectors(spark, d):
     return lake.read("vectors").select("id", "metadata.general_id", "metadata.text", "metadata.date")
 
 
+@query
+def initial_load_values(spark, d):
+    """Dense vectors of the first load, component by component."""
+    values = _unpacked(_loaded(spark, d, 0).read("vectors"), "id", "values")
+    return values.where("value <> 0").withColumn("value", F.round("value", 4))
+
+
+@query
+def initial_load_sparse(spark, d):
+    """Sparse vectors of the first load by term."""
+    lake = _loaded(spark, d, 0)
+    pairs = lake.read("vectors").select("id", F.inline(F.arrays_zip("sparse_values.indices", "sparse_values.values")))
+    terms = jobs.stored_bm25(lake)[0].select(F.col("term_idx").alias("indices"), "term")
+    return pairs.join(terms, "indices").select("id", "term", F.round("values", 6).alias("weight"))
+
+
+@query
+def incremental_values(spark, d):
+    """Dense vectors after load and update; those of unchanged chunks were not made again."""
+    lake, _ = _updated(spark, d)
+    values = _unpacked(lake.read("vectors"), "id", "values")
+    return values.where("value <> 0").withColumn("value", F.round("value", 4))
+
+
+@query
+def refreshed_bm25(spark, d):
+    """Statistics refreshed from the changes of an update: as if made over all pages."""
+    lake = _loaded(spark, d)
+    jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS, batch_id="update", refresh_bm25=True)
+    return jobs.stored_bm25(lake)[0].select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+@query
+def refreshed_bm25_params(spark, d):
+    """The parameters that go with ``refreshed_bm25``."""
+    lake = _loaded(spark, d)
+    jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS, batch_id="update", refresh_bm25=True)
+    return jobs.stored_bm25(lake)[1].withColumns({c: F.round(c, 6) for c in ("avgdl", "avg_idf")})
+
+
+def _feeds(spark, d):
+    """Changes from version 0 to 1 and from 1 to 2, a day apart."""
+    first = changes.changes(fx.snapshot(spark, d, 0), fx.snapshot(spark, d, 1), "2024-02-29 00:00:00")
+    return first, _feed(spark, d)
+
+
+@query
+def late_change_sets(spark, d):
+    """Pages after the newer of two change sets was applied before the older one."""
+    lake = _loaded(spark, d, 0)
+    older, newer = _feeds(spark, d)
+    for n, feed in enumerate((newer, older, newer)):
+        jobs.apply_changes(lake, feed, fx.crawl(spark, d), SETTINGS, batch_id=f"b{n}")
+    return lake.read("pages").select("id", "url", "last_updated", "extracted_content")
+
+
+@query
+def change_stream_late(spark, d):
+    """The same two change sets, streamed file by file in the wrong order."""
+    lake = _loaded(spark, d, 0)
+    path, feed = scratch_path(spark, "changes"), scratch_path(spark, "feed")
+    for changed in reversed(_feeds(spark, d)):
+        writers.write_change_sets(checkpointed(changed), path)
+        start_change_feed(spark, path, feed, lake, fx.crawl(spark, d), SETTINGS).awaitTermination()
+    return lake.read("pages").select("id", "url", "last_updated", "extracted_content")
+
+
+TWO_SIZES = replace(SETTINGS, chunk_sizes=(128, 256))
+
+
+@query
+def load_two_sizes(spark, d):
+    """Vectors of two chunk sizes after one load."""
+    lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
+    jobs.initial_load(lake, fx.snapshot(spark, d, 0), fx.crawl(spark, d), TWO_SIZES, batch_id="initial")
+    return lake.read("vectors").select("id", "metadata.chunk_size", "metadata.text")
+
+
+@query
+def update_two_sizes(spark, d):
+    """Vectors of two chunk sizes after load and update."""
+    lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
+    jobs.initial_load(lake, fx.snapshot(spark, d, 1), fx.crawl(spark, d), TWO_SIZES, batch_id="initial")
+    jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), TWO_SIZES, batch_id="update")
+    return lake.read("vectors").select("id", "metadata.chunk_size", "metadata.text")
+
+
+@query
+def empty_batch(spark, d):
+    """A feed without changes leaves the registry as it was."""
+    lake = _loaded(spark, d, 0)
+    jobs.apply_changes(lake, _feed(spark, d).where("false"), fx.crawl(spark, d), SETTINGS, batch_id="empty")
+    return lake.read("registry")
+
+
 @query
 def incremental_registry(spark, d):
     lake, _ = _updated(spark, d)
@@ -905,6 +1048,23 @@ def publish_new_vectors(spark, d):
     return lake.read("vectors").select("id", "metadata.project", "metadata.text")
 
 
+@query
+def publish_repeated_then_delete(spark, d):
+    """Insert-only of documents that come twice gives one vector each; a delete of their pages finds them."""
+    lake = Lake(spark, scratch_path(spark, "lake"), hex_digits=1)
+    docs = checkpointed(_documents(spark, d))
+    jobs.publish_new_vectors(lake, docs.union(docs), C.CHUNK_SIZE, C.DOC_TYPE, "one")
+    gone = fx.table(spark, d, "documents").where("doc_id % 5 = 0").select(
+        F.lit("removed").alias("change_type"),
+        F.md5(F.col("doc_id").cast("string")).alias("id"),
+        F.lit(None).cast("string").alias("url"),
+        F.lit(None).cast("date").alias("last_updated"),
+        F.lit(fx.CHANGE_TS).cast("timestamp").alias("change_ts"),
+    )
+    jobs.apply_changes(lake, gone, fx.crawl(spark, d), SETTINGS, batch_id="two")
+    return _unpacked(lake.read("vectors"), "id", "values")
+
+
 @query
 def load_repeated_fetches(spark, d):
     """A crawl that holds every page three times still gives one page a url: the latest fetch."""

@@ -59,16 +59,19 @@ def _batch(embed, texts):
 
 
 def embed_text(text: Column, load_model: Callable[[], object], batch_size: int = 256) -> Column:
-    """``array<float>`` per text; ``load_model`` runs once per task."""
+    """``array<float>`` per text; ``load_model`` runs once per task.  Null texts give null, unseen by the model."""
 
     @F.arrow_udf("array<float>")
     def embed(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         method = model_method(load_model())
         for texts in batches:
             rows = texts.to_pylist()
-            vectors = []
-            for start in range(0, len(rows), batch_size):
-                vectors.extend(_batch(method, rows[start : start + batch_size]))
+            given = [k for k, text in enumerate(rows) if text is not None]
+            vectors = [None] * len(rows)
+            for start in range(0, len(given), batch_size):
+                places = given[start : start + batch_size]
+                for k, vector in zip(places, _batch(method, [rows[k] for k in places])):
+                    vectors[k] = vector
             yield pa.array(vectors, pa.list_(pa.float32()))
 
     # Non-deterministic to the optimizer: a filter on the result must not run the model again.

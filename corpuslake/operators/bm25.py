@@ -141,6 +141,67 @@ def build_bm25(docs: DataFrame, text: str, order: str, k1=C.BM25_K1, b=C.BM25_B,
     return add_idf(numbered, params).select("term", "term_idx", "df", "idf"), params
 
 
+# -- statistics that follow a changing corpus ---------------------------------------
+
+
+def term_deltas(added: DataFrame, removed: DataFrame, text: str, order: str) -> DataFrame:
+    """``term, df, first_doc, first_pos``: documents a term gains (added) or loses (removed, so negative).
+
+    A null term carries the change in documents as ``df`` and in tokens as ``n_tokens``.
+    ``first_doc`` is null for a term that no added document holds.
+    """
+    gained = term_table(added, text, order)
+    lost = term_table(removed, text, order).select(
+        "term",
+        (-F.col("df")).alias("df"),
+        F.lit(None).cast("long").alias("first_doc"),
+        F.lit(None).cast("int").alias("first_pos"),
+        (-F.col("n_tokens")).alias("n_tokens"),
+    )
+    both = gained.select(*lost.columns).unionByName(lost)
+    return both.groupBy("term").agg(
+        F.sum("df").alias("df"),
+        F.max("first_doc").alias("first_doc"),
+        F.max("first_pos").alias("first_pos"),
+        F.sum("n_tokens").alias("n_tokens"),
+    )
+
+
+def with_new_ids(deltas: DataFrame, known: DataFrame) -> DataFrame:
+    """``term, term_idx, df``: terms that ``known`` (``term, term_idx``) lacks get the ids that follow its greatest.
+
+    Ids are never given twice, so vectors made earlier keep their meaning.  Other terms have a null id here.
+    """
+    own = deltas.where(F.col("term").isNotNull())
+    held = known.join(own.select("term"), "term", "left_semi").select("term").distinct()
+    fresh = number_terms(own.where(F.col("first_doc").isNotNull()).join(held, "term", "left_anti"))
+    first = F.coalesce(single(known.agg((F.max("term_idx") + 1).alias("n")), "n"), F.lit(0))
+    fresh = fresh.select("term", (F.col("term_idx") + first).alias("term_idx"))
+    return own.join(fresh, "term", "left").select("term", "term_idx", "df")
+
+
+def summed_terms(deltas: DataFrame) -> DataFrame:
+    """``term, term_idx, df`` of the terms that documents hold after all changes."""
+    whole = deltas.groupBy("term").agg(F.max("term_idx").alias("term_idx"), F.sum("df").alias("df"))
+    return whole.where("df > 0")
+
+
+def params_of(
+    terms: DataFrame, sizes: DataFrame, k1=C.BM25_K1, b=C.BM25_B, epsilon=C.BM25_EPSILON
+) -> DataFrame:
+    """One row of parameters from summed terms and changes of size (``n_docs, n_tokens``)."""
+    totals = sizes.agg(F.sum("n_docs").alias("n_docs"), F.sum("n_tokens").alias("n_tokens"))
+    mean = terms.agg(F.avg(raw_idf(single(totals, "n_docs"), F.col("df"))).alias("avg_idf"))
+    return totals.select(
+        "n_docs",
+        F.try_divide("n_tokens", "n_docs").alias("avgdl"),
+        F.lit(float(k1)).alias("k1"),
+        F.lit(float(b)).alias("b"),
+        F.lit(float(epsilon)).alias("epsilon"),
+        single(mean, "avg_idf").alias("avg_idf"),
+    )
+
+
 def score(tf, doc_len, idf, k1, b, avgdl) -> Column:
     """BM25 weight; missing parameters take their defaults."""
     k1 = F.coalesce(k1, F.lit(C.BM25_K1))
@@ -164,11 +225,11 @@ def sparse_weights(
     key: str = "unique_id",
     hot_terms: int = HOT_TERMS,
 ) -> DataFrame:
-    """``key, term_idx, score`` for every known term of every chunk.
+    """``key, term_idx, score`` for every known term of every chunk, in one pass over the postings.
 
-    Frequent terms hit the bounded broadcast table.  Only the rest, where each
-    term has a tiny share of the postings, is shuffled by term to meet the rest
-    of the vocabulary (AQE splits what a new, unknown frequent term may skew).
+    Frequent terms hit the bounded broadcast table.  The postings of the rest meet the
+    vocabulary by term; those already found travel along under a salt of their chunk, which
+    no term of the vocabulary has, so neither a frequent term nor the found ones gather.
     """
     counted = term_frequency(chunks, text, key)
     lookup = terms.select("term", F.col("term_idx").cast("int").alias("term_idx"), "df", "idf")
@@ -176,14 +237,25 @@ def sparse_weights(
     is_hot = (F.length("term") <= HOT_TERM_LENGTH) & (
         F.col("df") * F.lit(hot_terms) >= single(postings, "n")
     )
-    hot = lookup.where(is_hot).select("term", "term_idx", "idf")
+    hot = lookup.where(is_hot).select("term", F.struct("term_idx", "idf").alias("_hot"))
     tried = counted.join(F.broadcast(hot), "term", "left")
-    found = tried.where(F.col("term_idx").isNotNull())
-    rare = tried.where(F.col("term_idx").isNull()).select(key, "term", "tf", "doc_len")
-    found_rare = rare.join(lookup.select("term", "term_idx", "idf"), "term")
+    open_ = F.col("_hot").isNull()
+    met = tried.withColumns(
+        {
+            "_term": F.when(open_, F.col("term")).otherwise(F.lit("")),
+            "_salt": F.when(open_, F.lit(0).cast("long")).otherwise(F.xxhash64(key)),
+        }
+    )
+    rest = lookup.where(~F.coalesce(is_hot, F.lit(False))).select(
+        F.col("term").alias("_term"),
+        F.lit(0).cast("long").alias("_salt"),
+        F.struct("term_idx", "idf").alias("_rare"),
+    )
+    entry = F.coalesce("_hot", "_rare")
+    both = met.join(rest, ["_term", "_salt"], "left").select(
+        key, "tf", "doc_len", entry["term_idx"].alias("term_idx"), entry["idf"].alias("idf")
+    ).where(F.col("term_idx").isNotNull())
     k1, b, avgdl = (_param(params, name) for name in ("k1", "b", "avgdl"))
-    columns = [key, "term_idx", "tf", "doc_len", "idf"]
-    both = found.select(*columns).unionByName(found_rare.select(*columns))
     return both.select(
         key,
         "term_idx",

@@ -67,10 +67,27 @@ def diff(old: DataFrame, new: DataFrame, key: str = "id", compared=COMPARED) ->
     )
 
 
+def bucket_digests(placed: DataFrame, key: str = "id", compared=COMPARED) -> DataFrame:
+    """``bucket, rows, mark, other``: two order-free digests of the rows of each bucket.
+
+    Sums of 64-bit hashes, one of them of the reversed key, so that equal digests mean equal
+    rows but for a chance of about 2**-128.
+    """
+    first = F.xxhash64(key, *compared)
+    second = F.xxhash64(F.reverse(key), *compared, F.lit(1))
+    return placed.groupBy("bucket").agg(
+        F.count("*").alias("rows"), F.sum(first.cast("decimal(38,0)")).alias("mark"), F.bit_xor(second).alias("other")
+    )
+
+
+def stamped(feed: DataFrame, change_ts=None) -> DataFrame:
+    stamp = F.current_timestamp() if change_ts is None else F.lit(change_ts).cast("timestamp")
+    return feed.withColumn("change_ts", stamp)
+
+
 def changes(old: DataFrame, new: DataFrame, change_ts=None) -> DataFrame:
     """The change feed: ``diff`` without unchanged rows, stamped."""
-    stamp = F.current_timestamp() if change_ts is None else F.lit(change_ts).cast("timestamp")
-    return diff(old, new).where("change_type <> 'unchanged'").withColumn("change_ts", stamp)
+    return stamped(diff(old, new).where("change_type <> 'unchanged'"), change_ts)
 
 
 def change_counts(difference: DataFrame) -> DataFrame:
@@ -105,9 +122,15 @@ def pages_to_fetch(feed: DataFrame) -> DataFrame:
     )
 
 
+def change_order():
+    """Sorts changes of one page: by time, then removed, added, modified, then by the date of the page."""
+    kind = F.array_position(F.array(*map(F.lit, ("removed", "added", "modified"))), F.col("change_type"))
+    return F.struct(F.col("change_ts").alias("at"), kind.alias("kind"), F.col("last_updated").alias("day"))
+
+
 def latest_changes(feed: DataFrame) -> DataFrame:
     """One row per id when several change sets are applied together: the newest."""
-    return keep_last(feed, "id", ["change_ts"])
+    return keep_last(feed, "id", [change_order()])
 
 
 def to_change_sets(feed: DataFrame, shards: int = 1) -> DataFrame:

@@ -16,21 +16,21 @@ def chunk_pages(
     min_length: int = C.MIN_CHUNK_LENGTH,
     carry=("url", "last_updated"),
     separators=C.SEPARATORS,
+    length=None,
 ) -> DataFrame:
     """``unique_id, carried..., text, len, general_id, chunk_size``.
 
     Ordinals count from 1 per page and size and are given before short chunks
-    are dropped, so ids may have gaps.  Rows without text give no chunk.
+    are dropped, so ids may have gaps.  Rows without text give no chunk.  All sizes
+    come from one pass over the text.  ``length`` measures a piece of text (None:
+    characters); ``len`` and ``min_length`` stay characters.
     """
     carried = [c for c in carry if c in pages.columns]
-    sized = (
-        pages.select("id", *carried, text)
-        .select("*", F.explode(F.array(*map(F.lit, sizes))).alias("chunk_size"))
-        .withColumn(
-            "_chunks",
-            chunk_texts(F.col(text), F.col("chunk_size"), chunk_overlap("chunk_size"), separators),
-        )
-    )
+    wanted = F.array(*map(F.lit, sizes))
+    overlaps = F.transform(wanted, chunk_overlap)
+    split = chunk_texts(F.col(text), wanted, overlaps, separators, length)
+    by_size = unfold(pages.select("id", *carried, text), ["id", *carried], split, "_chunks", "_size")
+    sized = by_size.select("id", *carried, F.get(wanted, F.col("_size")).alias("chunk_size"), "_chunks")
     numbered = unfold(sized, ["id", *carried, "chunk_size"], F.col("_chunks"), "text", "_pos")
     return numbered.select(
         F.concat_ws("_", "id", F.col("_pos") + 1).alias("unique_id"),

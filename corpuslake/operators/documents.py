@@ -21,14 +21,33 @@ def embed_chunks(
     )
 
 
+def text_mark(model: str, text: str = "text") -> Column:
+    """What a vector is made from: hash of the model's name and the text."""
+    return F.sha2(F.concat(F.lit(f"{model}\0"), F.col(text)), 256)
+
+
+def embed_changed_chunks(
+    chunks: DataFrame, known: DataFrame, load_model: Callable[[], object], model: str, text: str = "text"
+) -> DataFrame:
+    """Adds ``embedding`` and ``mark``; the model sees only texts without a vector in ``known`` (``mark, values``).
+
+    Rows the model fails on are dropped.  Equal marks have equal vectors, so any one of them will do.
+    """
+    held = known.where(F.col("mark").isNotNull()).groupBy("mark").agg(F.first("values").alias("_held"))
+    matched = chunks.withColumn("mark", text_mark(model, text)).join(held, "mark", "left")
+    asked = F.when(F.col("_held").isNull(), F.col(text))
+    found = matched.withColumn("_new", embed_text(asked, load_model))
+    return found.withColumn("embedding", F.coalesce("_held", "_new")).drop("_held", "_new").dropna(subset=["embedding"])
+
+
 def _column_or(df: DataFrame, name: str, default: Column) -> Column:
     return F.col(name) if name in df.columns else default
 
 
 def generate_documents(
-    chunks: DataFrame, doc_type: str = C.DOC_TYPE, chunk_size: int | None = None
+    chunks: DataFrame, doc_type: str = C.DOC_TYPE, chunk_size: int | None = None, keep: tuple = ()
 ) -> DataFrame:
-    """``unique_id, values, sparse_values, metadata``.
+    """``unique_id, values, sparse_values, metadata``, and the columns to keep.
 
     Which fallback applies is decided by the columns present: ``id`` before
     ``general_id`` before ``'unknown'``; a random id without ``unique_id``; a
@@ -52,6 +71,7 @@ def generate_documents(
         _column_or(chunks, "embedding", no_vector).cast("array<float>").alias("values"),
         _column_or(chunks, "bm25_sparse_vector", no_weights).alias("sparse_values"),
         metadata.alias("metadata"),
+        *keep,
     )
 
 

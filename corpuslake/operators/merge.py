@@ -26,6 +26,16 @@ def upsert_keep_values(new: DataFrame, old: DataFrame, key: str = "id") -> DataF
     return joined.select(*columns, *[F.col(f"n.{c}") for c in only_new])
 
 
+def update_keep_values(new: DataFrame, old: DataFrame, key: str = "id") -> DataFrame:
+    """The new rows of ``upsert_keep_values`` alone, in the columns of ``new``; old rows without a new one are not read on."""
+    shared = [c for c in new.columns if c in old.columns and c != key]
+    before = old.select(F.col(key).cast("string").alias(key), F.struct(*shared).alias("_old"))
+    joined = new.withColumn(key, F.col(key).cast("string")).join(before, key, "left")
+    return joined.select(
+        *[F.coalesce(F.col(c), F.col(f"_old.{c}")).alias(c) if c in shared else F.col(c) for c in new.columns]
+    )
+
+
 def upsert_replace(new: DataFrame, old: DataFrame, key: str = "unique_id", order=None) -> DataFrame:
     """A new row replaces the old one; of several new rows the last by ``order`` stays."""
     last = keep_last(new, key, order).select(*old.columns) if order else new
@@ -37,11 +47,11 @@ def index_of(values: str = "values", metadata: str = "metadata") -> Column:
     return F.struct(F.col(f"{metadata}.doc_type"), F.size(values), F.col(f"{metadata}.chunk_size"))
 
 
-def upsert_vectors(new: DataFrame, old: DataFrame) -> DataFrame:
-    """Replace by index and id, so that collections of several chunk sizes stay side by side.
+def last_vectors(new: DataFrame) -> DataFrame:
+    """One record per index and id, so that collections of several chunk sizes stay side by side.
 
-    Of several new rows of one id in an index the last stays: by date, then by the hash
-    of text and vector; equal rows count once.
+    The last stays: by date, then by the hash of text and vector; equal records count once.
+    The choice is made on narrow columns, the vectors are only joined.
     """
     rank = F.struct(
         F.col("metadata.date").alias("at"), F.xxhash64("metadata.text", "values").alias("mark")
@@ -49,7 +59,12 @@ def upsert_vectors(new: DataFrame, old: DataFrame) -> DataFrame:
     keyed = new.select("*", index_of().alias("_index"), rank.alias("_rank"))
     last = keyed.groupBy("id", "_index").agg(F.max("_rank").alias("_last"))
     one = keyed.join(last, ["id", "_index"]).where(F.col("_rank").eqNullSafe(F.col("_last")))
-    one = one.dropDuplicates(["id", "_index"])
+    return one.dropDuplicates(["id", "_index"]).select(*new.columns)
+
+
+def upsert_vectors(new: DataFrame, old: DataFrame) -> DataFrame:
+    """Replace by index and id; of several new rows of one id in an index the last stays."""
+    one = last_vectors(new).withColumn("_index", index_of())
     kept = old.select("*", index_of().alias("_index")).join(one.select("id", "_index"), ["id", "_index"], "left_anti")
     return kept.select(*old.columns).unionByName(one.select(*old.columns))
 

@@ -113,9 +113,10 @@ def process_sitemap(
     order: str = "source",
     mode: str = "compat",
     on_bad_date: str = "fail",
+    pattern: str = C.ENTRY_PATTERN,
 ) -> DataFrame:
-    """Sitemap texts (``order`` column, ``value``) to the keyed page list."""
-    entries = parse_entries(texts, mode=mode)
+    """Sitemap texts (``order`` column, ``value``) to the keyed page list; ``pattern`` has url and date as groups."""
+    entries = parse_entries(texts, pattern=pattern, mode=mode)
     kept = entries.where(wanted(extensions, exclude, include) & is_safe(base_url, mode))
     return key_entries(kept, [order, "pos"], on_bad_date)
 
@@ -127,9 +128,10 @@ def sitemap_funnel(
     exclude=C.EXCLUDED_SUBSTRINGS,
     include=C.INCLUDED_SUBSTRINGS,
     mode: str = "compat",
+    pattern: str = C.ENTRY_PATTERN,
 ) -> DataFrame:
     """One row of counts: total, filtered, safe, unsafe; one pass."""
-    flagged = parse_entries(texts, mode=mode).select(
+    flagged = parse_entries(texts, pattern=pattern, mode=mode).select(
         wanted(extensions, exclude, include).alias("keep"), is_safe(base_url, mode).alias("safe")
     )
     return flagged.agg(

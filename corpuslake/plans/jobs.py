@@ -7,8 +7,9 @@ read back, so no plan runs the HTML parser, the splitter or the model twice.
 import hashlib
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslake import constants as C
@@ -16,9 +17,9 @@ from corpuslake import schemas
 from corpuslake.functions.embedding import HashingEmbedder
 from corpuslake.operators import bm25, changes, chunks, documents, enrich, merge, reports, sitemap
 from corpuslake.operators.common import single
-from corpuslake.sources import readers, writers
-from corpuslake.sources.lake import Lake
-from corpuslake.sources.scratch import checkpointed
+from corpuslake.sources import readers, snapshots, writers
+from corpuslake.sources.lake import TABLES, Lake
+from corpuslake.sources.scratch import checkpointed, scratch_path, together
 
 
 @dataclass(frozen=True)
@@ -27,7 +28,7 @@ class Settings:
 
     titles: tuple = C.TITLE_SELECTORS
     bodies: tuple = C.BODY_SELECTORS
-    chunk_size: int = C.CHUNK_SIZE
+    chunk_sizes: tuple = (C.CHUNK_SIZE,)
     doc_type: str = C.DOC_TYPE
     model: str = "hashing-384"
     load_model: Callable[[], object] = field(default=HashingEmbedder)
@@ -42,35 +43,64 @@ class Settings:
 
 
 def take_snapshot(
-    texts: DataFrame, base_url: str, path: str, snapshot_id: int, **filters
+    texts: DataFrame, base_url: str, path: str, snapshot_id: int, bucketed: bool = False, **filters
 ) -> DataFrame:
-    """Processes sitemap texts into a new snapshot; returns the funnel counts."""
-    writers.append_snapshot(sitemap.process_sitemap(texts, base_url, **filters), path, snapshot_id)
+    """Processes sitemap texts into a new snapshot; returns the funnel counts.
+
+    ``bucketed`` stores it with digests, for ``diff_stored_snapshots``.
+    """
+    write = snapshots.write_snapshot if bucketed else writers.append_snapshot
+    write(sitemap.process_sitemap(texts, base_url, **filters), path, snapshot_id)
     named = {k: v for k, v in filters.items() if k not in ("order", "on_bad_date")}
     return sitemap.sitemap_funnel(texts, base_url, **named)
 
 
-def diff_snapshots(snapshots: DataFrame, change_path: str, change_ts=None) -> DataFrame:
-    """Compares the two newest snapshots; one report row.
+def _publish_changes(difference: DataFrame, change_path: str, change_ts, unchanged: int = 0) -> DataFrame:
+    """Writes change sets and counts in one evaluation of the difference; one report row.
 
-    Change-set documents are written only if something changed.  With fewer
-    than two snapshots there is nothing to compare and nothing is written.
+    The counts are taken where the feed is written.  ``unchanged`` rows were not compared.
     """
-    spark = snapshots.sparkSession
-    old = changes.version_by_age(snapshots, 1)
-    new = changes.version_by_age(snapshots, 0)
-    if old.isEmpty():
-        counts = changes.change_counts(changes.diff(new, new))
-        written = 0
-    else:
-        feed = changes.changes(old, new, change_ts)
-        written = writers.write_change_sets(checkpointed(feed), change_path)
-        counts = changes.change_counts(changes.diff(old, new))
+    spark = difference.sparkSession
+    kinds = (*changes.CHANGE_TYPES, "unchanged")
+    seen = Observation()
+    watched = difference.observe(seen, *[F.count_if(F.col("change_type") == kind).alias(kind) for kind in kinds])
+    feed_path = scratch_path(spark, "feed")
+    changes.stamped(watched.where("change_type <> 'unchanged'"), change_ts).write.parquet(feed_path)
+    written = writers.write_change_sets(spark.read.schema(schemas.CHANGES).parquet(feed_path), change_path)
+    n = seen.get
+    same = n["unchanged"] + unchanged
+    before, after = (n["removed"] + n["modified"] + same, n["added"] + n["modified"] + same)
+    numbers = {kind: n[kind] for kind in changes.CHANGE_TYPES}
+    numbers |= {"total_before": before, "total_after": after, "net_change": after - before}
+    counts = spark.range(1).select(*[F.lit(v).cast("long").alias(k) for k, v in numbers.items()])
     detected = written > 0
     text = reports.change_message(path=change_path) if detected else F.lit("no changes detected")
     return counts.withColumn("changes_detected", F.lit(detected)).withColumn("message", text)
 
 
+def diff_snapshots(snapshot_rows: DataFrame, change_path: str, change_ts=None) -> DataFrame:
+    """Compares the two newest snapshots; one report row.
+
+    Change-set documents are written only if something changed.  With fewer
+    than two snapshots there is nothing to compare and nothing is written.
+    """
+    old = changes.version_by_age(snapshot_rows, 1)
+    new = changes.version_by_age(snapshot_rows, 0)
+    difference = changes.diff(new, new) if old.isEmpty() else changes.diff(old, new)
+    return _publish_changes(difference, change_path, change_ts)
+
+
+def diff_stored_snapshots(spark: SparkSession, path: str, change_path: str, change_ts=None) -> DataFrame:
+    """``diff_snapshots`` of bucketed snapshots: buckets with equal digests are not read."""
+    marks = snapshots.digests(spark, path)
+    sizes = marks.groupBy("snapshot_id").agg(F.sum("rows").alias("rows")).orderBy(F.desc("snapshot_id")).limit(2)
+    newest = sizes.collect()
+    new, old = newest[0]["snapshot_id"], newest[-1]["snapshot_id"]
+    of = [marks.where(F.col("snapshot_id") == n) for n in (old, new)]
+    equal = of[1].join(snapshots.changed_buckets(*of), "bucket", "left_anti").agg(F.sum("rows")).first()[0]
+    return _publish_changes(snapshots.diff_changed_buckets(spark, path, old, new), change_path, change_ts, equal or 0)
+
+
 # -- corpus building blocks ------------------------------------------------------
 
 
@@ -79,40 +109,83 @@ def doc_order(pages: DataFrame) -> DataFrame:
     return pages.withColumn("doc_order", F.conv(F.substring("id", 1, 15), 16, 10).cast("long"))
 
 
-def build_documents(chunk_rows: DataFrame, terms: DataFrame, params: DataFrame, settings: Settings):
-    """Chunks -> documents with sparse and dense vectors."""
-    weighted = bm25.add_sparse_vectors(chunk_rows, terms, params)
-    embedded = documents.embed_chunks(weighted, settings.load_model)
-    return documents.generate_documents(embedded, settings.doc_type, settings.chunk_size)
+def stored_bm25(lake: Lake):
+    """(terms ``term, term_idx, df, idf``; params) of the last refresh; both empty if there was none."""
+    params = _one_row(lake.read("bm25_params"))
+    until = F.col("batch") <= single(params, "as_of")
+    terms = bm25.summed_terms(lake.placed("bm25_terms").where(until))
+    return bm25.add_idf(terms, params), params.select(*schemas.BM25_PARAMS.fieldNames())
 
 
-def load_or_build_bm25(lake: Lake, pages: DataFrame, settings: Settings, refresh: bool = False):
-    """(terms, params, staged): stored statistics, or new ones over these pages."""
-    if lake.exists("bm25_terms") and not refresh:
-        return lake.read("bm25_terms"), lake.read("bm25_params"), {}
-    terms, params = bm25.build_bm25(
-        doc_order(pages), "extracted_content", "doc_order", settings.k1, settings.b, settings.epsilon
-    )
-    staged = {
-        "bm25_terms": lake.stage("bm25_terms", terms),
-        "bm25_params": lake.stage("bm25_params", params),
-    }
-    return (
-        lake.staged_rows("bm25_terms", staged["bm25_terms"]),
-        lake.staged_rows("bm25_params", staged["bm25_params"]),
-        staged,
+def _one_row(params: DataFrame) -> DataFrame:
+    """The one row of parameters, brought here, so that no expression that needs one starts a job."""
+    return params.sparkSession.createDataFrame(params.collect(), params.schema)
+
+
+def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Settings, refresh: bool):
+    """Appends what a batch changes in the statistics; returns (terms, params) to weigh its chunks with.
+
+    The changes are kept for every batch, so a later refresh needs no page that did not
+    change.  Weights come from the last refresh, which may be this batch's own.
+    """
+    text, order = "extracted_content", "doc_order"
+    deltas = checkpointed(bm25.term_deltas(doc_order(added), doc_order(removed), text, order))
+    sizes = deltas.where(F.col("term").isNull()).select(F.col("df").alias("n_docs"), "n_tokens")
+    together(
+        lake.spark,
+        lambda: lake.append("bm25_terms", bm25.with_new_ids(deltas, lake.read("bm25_terms"))),
+        lambda: lake.append("bm25_sizes", sizes),
     )
+    if not refresh:
+        return stored_bm25(lake)
+    every = lake.read("bm25_terms").unionByName(lake.appended("bm25_terms"))
+    terms = checkpointed(bm25.summed_terms(every))
+    all_sizes = lake.read("bm25_sizes").unionByName(lake.appended("bm25_sizes"))
+    params = bm25.params_of(terms, all_sizes, settings.k1, settings.b, settings.epsilon)
+    lake.append("bm25_params", params.withColumn("as_of", F.lit(lake.next_batch)))
+    params = _one_row(lake.appended("bm25_params")).select(*schemas.BM25_PARAMS.fieldNames())
+    return bm25.add_idf(terms, params), params
+
+
+def build_documents(
+    chunk_rows: DataFrame, terms: DataFrame, params: DataFrame, settings: Settings, known: DataFrame | None = None
+):
+    """Chunks -> documents with sparse and dense vectors, and the mark of what each vector was made from.
+
+    ``known`` (``mark, values``) has vectors that need not be made again.
+    """
+    size = F.col("chunk_size").cast("string")
+    weighted = bm25.add_sparse_vectors(
+        chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key"
+    ).drop("_key")
+    if known is None:
+        embedded = documents.embed_chunks(weighted, settings.load_model)
+        embedded = embedded.withColumn("mark", documents.text_mark(settings.model))
+    else:
+        embedded = documents.embed_changed_chunks(weighted, known, settings.load_model, settings.model)
+    made = documents.generate_documents(embedded, settings.doc_type, keep=("mark",))
+    return made
 
 
-def _embedded_enough(chunk_rows: DataFrame, docs: DataFrame, settings: Settings) -> None:
-    """Raises where a model that fails would leave the corpus (almost) empty; counts come from file footers."""
-    asked, given = chunk_rows.count(), docs.count()
+def _embedded_enough(asked: int, given: int, settings: Settings) -> None:
+    """Raises where a model that fails would leave the corpus (almost) empty; the counts come from the writes."""
     if given < (1 - settings.most_failed) * asked:
         raise RuntimeError(f"the model gave no vector for {asked - given} of {asked} chunks")
 
 
-def _chunked(pages: DataFrame, settings: Settings) -> DataFrame:
-    return chunks.chunk_pages(pages, (settings.chunk_size,)).select(*schemas.CHUNKS.fieldNames())
+def _append_documents(lake: Lake, asked: int, terms, params, settings: Settings, known=None) -> int:
+    """Appends documents of the appended chunks; returns their number."""
+    given = lake.append("documents", build_documents(lake.appended("chunks"), terms, params, settings, known))
+    _embedded_enough(asked, given, settings)
+    return given
+
+
+def _append_vectors(lake: Lake, settings: Settings) -> int:
+    return lake.append("vectors", documents.upload_records(lake.appended("documents"), settings.project))
+
+
+def _append_ids(lake: Lake) -> int:
+    return lake.append("registry", merge.distinct_ids(lake.appended("documents")))
 
 
 # -- initial load ----------------------------------------------------------------
@@ -125,58 +198,50 @@ def initial_load(
     settings: Settings = Settings(),
     *,
     batch_id: str,
-) -> dict:
-    """Page list and crawl snapshot to all corpus tables, in one commit."""
-    if lake.applied(batch_id):
-        return {}
+) -> int | None:
+    """Page list and crawl snapshot to all corpus tables, in one commit; the number of documents.
+
+    Statistics are made unless the lake has some.  A batch that was applied before does nothing.
+    """
+    if not lake.begin(batch_id):
+        return None
+    before = lake.read("pages")
+    first = lake.read("bm25_params").isEmpty()
     enriched = enrich.enrich_pages(page_list, crawl, settings.titles, settings.bodies)
-    staged = {"pages": lake.stage("pages", enriched)}
-    pages = lake.staged_rows("pages", staged["pages"])
-    terms, params, stats = load_or_build_bm25(lake, pages, settings)
-    staged |= stats
-    staged["chunks"] = lake.stage("chunks", _chunked(pages, settings))
-    chunk_rows = lake.staged_rows("chunks", staged["chunks"])
-    staged["documents"] = lake.stage(
-        "documents", build_documents(chunk_rows, terms, params, settings)
+    lake.append("pages", enriched)
+    pages = lake.appended("pages")
+    (terms, params), asked = together(
+        lake.spark,
+        lambda: track_bm25(lake, pages, before, settings, refresh=first),
+        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes)),
     )
-    docs = lake.staged_rows("documents", staged["documents"])
-    _embedded_enough(chunk_rows, docs, settings)
-    staged["vectors"] = lake.stage("vectors", documents.upload_records(docs, settings.project))
-    staged["registry"] = lake.stage("registry", merge.distinct_ids(docs))
-    lake.commit(staged, batch_id)
-    return staged
+    made = _append_documents(lake, asked, terms, params, settings)
+    together(lake.spark, lambda: _append_vectors(lake, settings), lambda: _append_ids(lake))
+    replaced = ["pages", "chunks", "documents", "registry", "vectors", "changes"]
+    lake.commit(batch_id, replaced + (["bm25_params"] if first else []))
+    return made
 
 
 # -- incremental update ------------------------------------------------------------
 
 
-def delete_derived(tables: dict, gone: DataFrame):
-    """Removes everything derived from the given page ids.
+def effective_changes(lake: Lake, latest: DataFrame, near) -> DataFrame:
+    """Changes (the newest per page) without those that are not newer than what was applied before.
 
-    Returns the remaining frames and a one-row frame of deletion counts.  The
-    registry says which chunks belong to a page.
+    Change sets may so come in any order and repeatedly: the state remembers the newest change
+    of every page, also of removed ones.  An addition whose page the crawl did not have left
+    the older state in place, so it does not keep an older change from taking effect; it then
+    stays what is known, as ``newer``.
     """
-    chunk_ids = merge.chunk_ids_of(gone, tables["registry"]).select("unique_id")
-    keys = {
-        "pages": ("id", gone),
-        "chunks": ("unique_id", chunk_ids),
-        "documents": ("unique_id", chunk_ids),
-        "registry": ("unique_id", chunk_ids),
-        "vectors": ("id", chunk_ids.withColumnRenamed("unique_id", "id")),
-    }
-    names = {
-        "vectors": "deleted_vectors",
-        "documents": "deleted_documents",
-        "pages": "removed_pages",
-        "registry": "removed_unique_ids",
-    }
-    kept = {name: merge.delete_rows(tables[name], ids, key) for name, (key, ids) in keys.items()}
-    counts = None
-    for name, label in names.items():
-        key, ids = keys[name]
-        count = merge.deletion_counts(tables[name], ids, key).withColumnRenamed("deleted", label)
-        counts = count if counts is None else counts.withColumn(label, single(count, label))
-    return kept, counts
+    known = lake.read("changes", near).select(
+        "id",
+        changes.change_order().alias("_known"),
+        (F.col("built") | (F.col("change_type") != "added")).alias("_done"),
+        F.struct("change_type", "change_ts", "last_updated").alias("_state"),
+    )
+    joined = latest.join(known, "id", "left")
+    late = F.coalesce(changes.change_order() <= F.col("_known"), F.lit(False))
+    return joined.where(~(late & F.col("_done"))).withColumn("newer", F.when(late, F.col("_state"))).drop("_known", "_done", "_state")
 
 
 def upsert_pages(new_pages: DataFrame, old_pages: DataFrame) -> DataFrame:
@@ -184,6 +249,15 @@ def upsert_pages(new_pages: DataFrame, old_pages: DataFrame) -> DataFrame:
     return enrich.drop_incomplete(merge.upsert_keep_values(new_pages, old_pages))
 
 
+def _removals(table: str, rows: DataFrame, counted) -> DataFrame:
+    return rows.select(F.lit(table).alias("table"), "key", counted.alias("counted"))
+
+
+def _replaced(table: str, rows: DataFrame) -> DataFrame:
+    """Keys of rows that a batch appends: older rows with such a key give way, whether there are any or not."""
+    return _removals(table, rows.select(TABLES[table].key_column().alias("key")), F.lit(False))
+
+
 def apply_changes(
     lake: Lake,
     feed: DataFrame,
@@ -195,61 +269,92 @@ def apply_changes(
 ) -> DataFrame | None:
     """Applies a change feed to every table in one commit; returns the run report.
 
-    Only buckets that hold a changed page are read and rewritten.  A batch that
-    was applied before, or that is empty, changes nothing and returns None.
+    Older rows are read only in buckets that hold a changed page, and none is written
+    again.  A batch that was applied before, or that holds nothing new, changes nothing and
+    returns None.  ``refresh_bm25`` makes new statistics over all pages from the changes.
     """
-    if lake.applied(batch_id):
+    if not lake.begin(batch_id):
         return None
-    spark = lake.spark
-    latest = checkpointed(changes.latest_changes(feed))
+    newest = changes.latest_changes(feed)
+    near = lake.near(newest)
+    latest = checkpointed(effective_changes(lake, newest, near))
     if latest.isEmpty():
         return None
-    touched = lake.buckets_of(latest)
     gone = changes.ids_to_delete(latest)
-    old = {
-        name: lake.read(name, touched)
-        for name in ("pages", "chunks", "documents", "registry", "vectors")
-    }
-
-    wanted = changes.pages_to_fetch(latest)
-    fresh = enrich.enrich_pages(wanted, crawl, settings.titles, settings.bodies, drop_null=True)
-    increment = writers.write_increment(fresh, f"{lake.root}/increments", batch_id_path(batch_id))
-    new_pages = spark.read.schema(schemas.PAGES).parquet(increment)
 
-    # Completeness is a rule for the whole page table, so buckets that still
-    # hold a page without html join in; row-group null counts keep this cheap.
-    unfinished = lake.read("pages").where(
+    # Pages: a page that was only added keeps old values where new ones are null.
+    fresh = enrich.enrich_pages(
+        changes.pages_to_fetch(latest), crawl, settings.titles, settings.bodies, drop_null=True
+    )
+    old = lake.placed("pages", near).join(latest.select("id", "change_type"), "id")
+    old = checkpointed(old.withColumn("gone", F.col("change_type").isin("removed", "modified")))
+    lake.append("pages", merge.update_keep_values(fresh, old.where("not gone")))
+    pages = lake.appended("pages")
+    renewed = old.where("not gone").join(pages.select("id"), "id", "left_semi")
+    # Completeness is a rule for the whole page table; row-group null counts keep this scan small.
+    unfinished = lake.placed("pages").where(
         F.col("html_content").isNull() | F.col("extracted_content").isNull()
+    ).join(old.select("id"), "id", "left_anti")
+    kept_open = old.where("not gone and (html_content is null or extracted_content is null)")
+    kept_open = kept_open.join(pages.select("id"), "id", "left_anti")
+    lost = [(old.where("gone"), True), (renewed, False), (unfinished, False), (kept_open, False)]
+    no_longer = checkpointed(
+        reduce(
+            DataFrame.unionByName,
+            [rows.select("id", "extracted_content", "key", F.lit(n).alias("counted")) for rows, n in lost],
+        )
     )
-    page_buckets = touched | lake.buckets_of(unfinished)
-    old["pages"] = lake.read("pages", page_buckets)
 
-    kept, deleted = delete_derived(old, gone)
-    terms, params, staged = load_or_build_bm25(lake, new_pages, settings, refresh_bm25)
-    staged = dict(staged)
-    staged["pages"] = lake.stage("pages", upsert_pages(new_pages, kept["pages"]), page_buckets)
-
-    new_chunks = lake.staged_rows("chunks", lake.stage("chunks", _chunked(new_pages, settings)))
-    staged["chunks"] = lake.stage(
-        "chunks", merge.upsert_replace(new_chunks, kept["chunks"]), touched
-    )
-    built = build_documents(new_chunks, terms, params, settings)
-    new_docs = lake.staged_rows("documents", lake.stage("documents", built))
-    _embedded_enough(new_chunks, new_docs, settings)
-    staged["documents"] = lake.stage(
-        "documents", merge.upsert_replace(new_docs, kept["documents"]), touched
+    # Everything derived from pages that are gone; the registry says which chunks they had.
+    def derived():
+        ids = checkpointed(merge.chunk_ids_of(gone, lake.placed("registry", near)))
+        chunk_ids = ids.select("unique_id")
+        docs = lake.placed("documents", near).join(chunk_ids, "unique_id", "left_semi")
+        vectors = lake.placed("vectors", near).join(chunk_ids.withColumnRenamed("unique_id", "id"), "id", "left_semi")
+        old_chunks = lake.placed("chunks", near).join(chunk_ids, "unique_id", "left_semi")
+        return ids, checkpointed(docs.select("key", "mark", "values")), vectors, old_chunks
+
+    track = lambda: track_bm25(lake, pages, no_longer, settings, refresh_bm25)
+    (ids, docs, vectors, old_chunks), asked, statistics = together(
+        lake.spark,
+        derived,
+        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes)),
+        track if refresh_bm25 else lambda: stored_bm25(lake),
     )
-    records = documents.upload_records(new_docs, settings.project)
-    staged["vectors"] = lake.stage(
-        "vectors", merge.upsert_vectors(records, kept["vectors"]), touched
+    yes = F.lit(True)
+    gone_keys = [
+        _removals("pages", no_longer, F.col("counted")),
+        _removals("registry", ids, yes),
+        _removals("documents", docs, yes),
+        _removals("vectors", vectors, yes),
+        _removals("chunks", old_chunks, yes),
+        _removals("changes", latest.select(F.col("id").alias("key")), F.lit(False)),
+        _replaced("chunks", lake.appended("chunks")),
+    ]
+    stated = latest.join(pages.select("id", F.lit(True).alias("built")), "id", "left")
+    known = {c: F.coalesce(F.col(f"newer.{c}"), F.col(c)) for c in ("change_type", "change_ts", "last_updated")}
+    stated = stated.withColumns(known | {"built": F.coalesce("built", F.lit(False))})
+    made, deleted, *_ = together(
+        lake.spark,
+        lambda: _append_documents(lake, asked, *statistics, settings, docs.select("mark", "values")),
+        lambda: lake.remove(reduce(DataFrame.unionByName, gone_keys)),
+        lambda: lake.append("changes", stated),
+        (lambda: None) if refresh_bm25 else track,
     )
-    all_docs = lake.staged_rows("documents", staged["documents"])
-    staged["registry"] = lake.stage(
-        "registry", merge.register_ids(kept["registry"], all_docs), touched
+    new_docs = lake.appended("documents")
+    new_keys = [
+        _replaced("documents", new_docs),
+        _replaced("vectors", new_docs.withColumnRenamed("unique_id", "id")),
+        _replaced("registry", new_docs),
+    ]
+    together(
+        lake.spark,
+        lambda: lake.remove(reduce(DataFrame.unionByName, new_keys)),
+        lambda: _append_vectors(lake, settings),
+        lambda: _append_ids(lake),
     )
-
-    report = checkpointed(run_report(latest, deleted, new_docs, batch_id))
-    lake.commit(staged, batch_id)
+    report = checkpointed(run_report(latest, deleted, made, batch_id))
+    lake.commit(batch_id, ["bm25_params"] if refresh_bm25 else [])
     report.write.mode("overwrite").parquet(f"{lake.root}/run_stats/run={batch_id_path(batch_id)}")
     return report
 
@@ -260,52 +365,61 @@ def batch_id_path(batch_id: str) -> str:
     return f"{plain[-60:]}-{hashlib.md5(batch_id.encode('utf-8')).hexdigest()[:12]}"
 
 
-def run_report(feed: DataFrame, deleted: DataFrame, new_docs: DataFrame, batch_id: str) -> DataFrame:
-    """One row: change counts, deletion counts, update count, message."""
+def run_report(feed: DataFrame, deleted: dict, updated: int, batch_id: str) -> DataFrame:
+    """One row: deletion counts and update count (both taken by the writes), change counts, message."""
     by_type = feed.agg(
         *[F.count_if(F.col("change_type") == kind).alias(kind) for kind in changes.CHANGE_TYPES]
     )
-    updates = new_docs.agg(F.count("*").alias("n"))
-    row = deleted.withColumn("updated_items", single(updates, "n"))
-    for kind in changes.CHANGE_TYPES:
-        row = row.withColumn(kind, single(by_type, kind))
+    numbers = {
+        "deleted_vectors": deleted["vectors"],
+        "deleted_documents": deleted["documents"],
+        "removed_pages": deleted["pages"],
+        "removed_unique_ids": deleted["registry"],
+        "updated_items": updated,
+    }
+    row = by_type.select(*[F.lit(n).cast("long").alias(name) for name, n in numbers.items()], *changes.CHANGE_TYPES)
     return row.withColumn("message", reports.update_message()).withColumn("batch_id", F.lit(batch_id))
 
 
 # -- publishing ----------------------------------------------------------------------
 
 
+def _register(lake: Lake, ids: DataFrame) -> None:
+    lake.append("registry", ids.select("unique_id").distinct())
+
+
 def publish_vectors(lake: Lake, docs: DataFrame, project: str, batch_id: str) -> DataFrame | None:
-    """Upserts documents into the vector table and registers their ids."""
-    if lake.applied(batch_id):
+    """Upserts documents into the vector table and registers their ids.
+
+    The table itself is not read: records are appended, and their keys end older ones.
+    """
+    if not lake.begin(batch_id):
         return None
-    records = documents.upload_records(docs, project)
-    touched = lake.buckets_of(docs, "unique_id")
-    if not touched:
+    docs = checkpointed(docs)
+    updated = docs.count()
+    if not updated:
         return None
-    staged = {
-        "vectors": lake.stage(
-            "vectors", merge.upsert_vectors(records, lake.read("vectors", touched)), touched
-        ),
-        "registry": lake.stage(
-            "registry", merge.register_ids(lake.read("registry", touched), docs), touched
-        ),
-    }
-    lake.commit(staged, batch_id)
-    ids = lake.read("registry").agg(F.count("*").alias("n"))
-    return docs.agg(F.count("*").alias("updated_items")).withColumn(
-        "unique_ids", single(ids, "n")
-    )
+    lake.append("vectors", merge.last_vectors(documents.upload_records(docs, project)))
+    _register(lake, docs)
+    keys = [_replaced(table, lake.appended(table)) for table in ("vectors", "registry")]
+    lake.remove(reduce(DataFrame.unionByName, keys))
+    lake.commit(batch_id)
+    ids = lake.read("registry").agg(F.count("*").alias("unique_ids"))
+    return ids.select(F.lit(updated).cast("long").alias("updated_items"), "unique_ids")
 
 
 def publish_new_vectors(
     lake: Lake, docs: DataFrame, chunk_size: int, doc_type: str, batch_id: str
 ) -> DataFrame | None:
-    """Adds only documents the vector table does not hold; existing ones stay as they are."""
-    if lake.applied(batch_id):
+    """Adds only documents the vector table does not hold; existing ones stay as they are.
+
+    A document that comes repeatedly is added once.  All ids are registered, so that a later
+    delete of their pages finds them.
+    """
+    if not lake.begin(batch_id):
         return None
-    touched = lake.buckets_of(docs, "unique_id")
-    held = lake.read("vectors", touched)
+    docs = checkpointed(docs)
+    held = lake.read("vectors", lake.near(docs, "unique_id"))
     asked = F.struct(F.lit(doc_type), F.size("values"), F.lit(chunk_size))
     fresh = merge.new_vectors_only(docs, held, asked)
     reduced = documents.reduced_records(fresh, chunk_size, doc_type)
@@ -319,8 +433,10 @@ def publish_new_vectors(
     )
     no_sparse = F.lit(None).cast(schemas.SPARSE_PAIR).alias("sparse_values")
     rows = reduced.select("id", "values", no_sparse, metadata.alias("metadata"))
-    staged = {"vectors": lake.stage("vectors", held.unionByName(rows), touched)}
-    lake.commit(staged, batch_id)
+    lake.append("vectors", merge.last_vectors(rows))
+    _register(lake, docs)
+    lake.remove(_replaced("registry", lake.appended("registry")))
+    lake.commit(batch_id)
     return lake.read("vectors").agg(F.count("*").alias("vectors"))
 
 
@@ -334,8 +450,10 @@ def publish_folder(lake: Lake, folder: str, model: str, project: str, batch_id:
     return publish_vectors(lake, stamped.select(*schemas.DOCUMENTS.fieldNames()), project, batch_id)
 
 
-def clear_vectors(lake: Lake, model: str, batch_id: str) -> DataFrame:
+def clear_vectors(lake: Lake, model: str, batch_id: str) -> DataFrame | None:
     """Empties the vector table; returns the counts it held by index."""
+    if not lake.begin(batch_id):
+        return None
     held = checkpointed(documents.index_stats(lake.read("vectors"), model))
-    lake.commit({"vectors": ("", None, [])}, batch_id)
+    lake.commit(batch_id, ["vectors"])
     return held

@@ -52,6 +52,7 @@ CHUNKS = T.StructType(
         _s("text"),
         _s("len", T.IntegerType()),
         _s("general_id"),
+        _s("chunk_size", T.IntegerType()),
     ]
 )
 
@@ -75,6 +76,23 @@ BM25_PARAMS = T.StructType(
     ]
 )
 
+# Stored statistics: what each batch adds to or takes from the corpus, and the parameters
+# of the last refresh, which is made with the batches up to ``as_of``.
+TERM_DELTAS = T.StructType([_s("term"), _s("term_idx", T.LongType()), _s("df", T.LongType())])
+SIZE_DELTAS = T.StructType([_s("n_docs", T.LongType()), _s("n_tokens", T.LongType())])
+STORED_PARAMS = T.StructType([*BM25_PARAMS.fields, _s("as_of", T.IntegerType())])
+
+# The newest change applied per page; ``built``: its page was found in the crawl.
+CHANGE_STATE = T.StructType(
+    [
+        _s("id"),
+        _s("change_type"),
+        _s("change_ts", T.TimestampType()),
+        _s("last_updated", T.DateType()),
+        _s("built", T.BooleanType()),
+    ]
+)
+
 SPARSE_MAP = T.MapType(T.IntegerType(), T.DoubleType())
 
 METADATA = T.StructType(
@@ -98,6 +116,9 @@ DOCUMENTS = T.StructType(
     ]
 )
 
+# ``mark`` is the hash of model and text that the vector was made from.
+STORED_DOCUMENTS = T.StructType([*DOCUMENTS.fields, _s("mark")])
+
 # JSON object keys are strings, so stored documents carry string indices.
 DOCUMENTS_JSON = T.StructType(
     [

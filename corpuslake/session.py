@@ -4,6 +4,7 @@ from pyspark.sql import SparkSession
 
 
 def local_session(cpus: str = "8", app: str = "corpuslake", **conf) -> SparkSession:
+    """A session on this machine; name ``spark.checkpoint.dir`` in ``conf``, as on a cluster."""
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)

@@ -1,37 +1,66 @@
-"""Corpus tables on plain Parquet: bucketed copy-on-write with one commit point.
+"""Corpus tables on plain Parquet that only grow: appended rows and keys of removed ones.
 
-A table is a set of buckets (prefix of the md5 page id, so all tables of a page
-share its bucket).  A run writes new directories for the buckets it touches and
-then one small commit file that says which directory is current for each bucket.
-Readers see the last commit; a run that dies before it leaves no trace.  One
-writer at a time is assumed.
+A batch appends new rows to ``<table>/batch=<n>`` and the keys of rows it removes or
+replaces to ``removed/batch=<n>``; a row is current unless its key was removed by a later
+batch.  So an update writes what its change set holds, and no older file is touched.  All
+files are partitioned by bucket, a prefix of the md5 page id that the keys of all tables
+begin with; readers that know their pages prune by it at run time.
+
+The last write of a batch is its row in ``commits``.  Readers skip what has none, and the
+next run overwrites or empties what a lost one left.  One writer at a time is assumed.
 """
 
-import hashlib
-import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslake import schemas
-from corpuslake.sources.readers import empty
+from corpuslake.sources.readers import empty, path_exists, read_or_empty
+from corpuslake.sources.scratch import checkpointed
+
+
+def _key(*columns) -> Column:
+    return F.concat_ws("|", *[F.coalesce(c.cast("string"), F.lit("")) for c in columns])
+
+
+@dataclass(frozen=True)
+class Table:
+    schema: T.StructType
+    key: object = None  # columns of a row -> its key; None: rows are never removed one by one
+
+    def key_column(self) -> Column | None:
+        return None if self.key is None else self.key()
+
 
-# table -> (schema, key column that starts with the page id, or None: one bucket)
 TABLES = {
-    "pages": (schemas.PAGES, "id"),
-    "chunks": (schemas.CHUNKS, "unique_id"),
-    "documents": (schemas.DOCUMENTS, "unique_id"),
-    "registry": (schemas.UNIQUE_IDS, "unique_id"),
-    "vectors": (schemas.VECTORS, "id"),
-    "bm25_terms": (schemas.BM25_TERMS, None),
-    "bm25_params": (schemas.BM25_PARAMS, None),
+    "pages": Table(schemas.PAGES, lambda: F.col("id")),
+    "chunks": Table(schemas.CHUNKS, lambda: _key(F.col("unique_id"), F.col("chunk_size"))),
+    "documents": Table(
+        schemas.STORED_DOCUMENTS, lambda: _key(F.col("unique_id"), F.col("metadata.chunk_size"))
+    ),
+    "registry": Table(schemas.UNIQUE_IDS, lambda: F.col("unique_id")),
+    "vectors": Table(
+        schemas.VECTORS,
+        lambda: _key(F.col("id"), F.col("metadata.doc_type"), F.size("values"), F.col("metadata.chunk_size")),
+    ),
+    "changes": Table(schemas.CHANGE_STATE, lambda: F.col("id")),
+    "bm25_terms": Table(schemas.TERM_DELTAS),
+    "bm25_sizes": Table(schemas.SIZE_DELTAS),
+    "bm25_params": Table(schemas.STORED_PARAMS),
 }
-WHOLE = "all"
-_COMMIT = "table string, bucket string, version string, batch_id string"
+_PLACE = [T.StructField("bucket", T.StringType()), T.StructField("batch", T.IntegerType())]
+_REMOVED = T.StructType([T.StructField("key", T.StringType()), T.StructField("table", T.StringType()), *_PLACE])
+_COMMITS = "batch_id string, replaced array<string>, hex_digits int, batch int"
 
 
-def _short(batch_id: str) -> str:
-    return hashlib.md5(batch_id.encode("utf-8")).hexdigest()
+@dataclass(frozen=True)
+class Near:
+    """Some buckets, and the removed keys in them."""
+
+    buckets: DataFrame
+    removed: DataFrame
 
 
 class Lake:
@@ -41,101 +70,141 @@ class Lake:
         self.spark = spark
         self.root = root.rstrip("/")
         self._width = hex_digits
-        self._known = 0, {}
+        self._state = None
+        self._written = set()
+
+    def _commits(self) -> DataFrame:
+        return read_or_empty(self.spark, f"{self.root}/commits", _COMMITS)
+
+    def _load(self, batch_id: str = "") -> bool:
+        """Reads the state anew; whether the batch is among the commits."""
+        since = [F.max(F.when(F.array_contains("replaced", name), F.col("batch"))).alias(name) for name in TABLES]
+        seen = F.max(F.col("batch_id") == batch_id).alias("seen")
+        row = self._commits().agg(F.max("batch").alias("batch"), F.max("hex_digits").alias("width"), seen, *since).first()
+        self._state = row.batch or 0, {name: row[name] or 0 for name in TABLES}, row.width or self._width
+        return bool(row.seen)
+
+    def state(self):
+        """``(last batch, {table: first batch that counts}, bucket width)`` as of the first use or the last commit here."""
+        if self._state is None:
+            self._load()
+        return self._state
 
     @property
     def hex_digits(self) -> int:
-        self._current()
-        return self._width
-
-    # -- commits: at most (tables x buckets) rows each ------------------------
-
-    def _current(self):
-        """(number of the last commit, {(table, bucket): version})."""
-        number = max((int(n) for n in self._names("commits/commit=*/batch=*", 1)), default=0)
-        if number != self._known[0]:
-            rows = self.spark.read.schema(_COMMIT).parquet(f"{self.root}/commits/commit={number}/*").collect()
-            self._known = number, {
-                (r["table"], r["bucket"]): r["version"] for r in rows if r["table"]
-            }
-            self._width = next(int(r["version"]) for r in rows if not r["table"])
-        return self._known[0], dict(self._known[1])
-
-    def _names(self, pattern: str, up: int = 0) -> list[str]:
-        """Values of the ``name=value`` directories that match and hold data, or of those ``up`` levels above."""
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{self.root}/{pattern}/*.parquet")
-        fs = hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        found = set()
-        for status in fs.globStatus(hadoop) or []:
-            place = status.getPath().getParent()
-            for _ in range(up):
-                place = place.getParent()
-            found.add(str(place.getName()))
-        return [name.split("=", 1)[1] for name in found]
+        return self.state()[2]
+
+    @property
+    def next_batch(self) -> int:
+        return self.state()[0] + 1
 
     def applied(self, batch_id: str) -> bool:
-        """Whether a batch was committed: its name is part of its commit's path, so no commit is read."""
-        return bool(self._names(f"commits/commit=*/batch={_short(batch_id)}"))
-
-    def commit(self, staged: dict, batch_id: str) -> int:
-        """Makes staged buckets current: ``{table: (version, touched, written)}``."""
-        number, current = self._current()
-        for table, (version, touched, written) in staged.items():
-            for key in [k for k in current if k[0] == table and (touched is None or k[1] in touched)]:
-                del current[key]
-            current.update({(table, bucket): version for bucket in written})
-        rows = [(t, b, v, batch_id) for (t, b), v in current.items()]
-        rows.append((None, None, str(self._width), batch_id))
-        target = f"{self.root}/commits/commit={number + 1}/batch={_short(batch_id)}"
-        self.spark.createDataFrame(rows, _COMMIT).coalesce(1).write.parquet(target)
-        return number + 1
-
-    # -- tables ----------------------------------------------------------------
-
-    def bucket_of(self, key: str):
-        return F.substring(F.col(key), 1, self.hex_digits)
-
-    def buckets_of(self, ids: DataFrame, key: str = "id") -> set[str]:
-        """Buckets a set of page ids falls into; at most 16 ** hex_digits values."""
-        return {r["bucket"] for r in ids.select(self.bucket_of(key).alias("bucket")).distinct().collect()}
-
-    def _load(self, table: str, places) -> DataFrame:
-        schema, _ = TABLES[table]
-        paths = [f"{self.root}/{table}/version={v}/bucket={b}" for b, v in sorted(places)]
-        if not paths:
-            return empty(self.spark, schema)
-        return self.spark.read.schema(schema).parquet(*paths)
-
-    def exists(self, table: str) -> bool:
-        return any(t == table for t, _ in self._current()[1])
-
-    def read(self, table: str, buckets: set[str] | None = None) -> DataFrame:
-        """Current rows of a table, of all or of some buckets; empty if never written."""
-        _, current = self._current()
-        return self._load(
-            table,
-            [(b, v) for (t, b), v in current.items() if t == table and (buckets is None or b in buckets)],
+        return not self._commits().where(F.col("batch_id") == batch_id).isEmpty()
+
+    def begin(self, batch_id: str) -> bool:
+        """Starts a batch; False if it was applied before."""
+        self._written = set()
+        return not self._load(batch_id)
+
+    def commit(self, batch_id: str, replaced=()) -> None:
+        """Makes the batch current.  Of ``replaced`` tables only what it appended counts from now on."""
+        number, _, width = self.state()
+        for name in {*TABLES, "removed"} - self._written:
+            self._clear(f"{self.root}/{name}/batch={number + 1}")
+        row = self.spark.createDataFrame(
+            [(batch_id, sorted(replaced), width)], "batch_id string, replaced array<string>, hex_digits int"
         )
+        row.coalesce(1).write.mode("overwrite").parquet(f"{self.root}/commits/batch={number + 1}")
+        self._state = None
+
+    def _clear(self, path: str) -> None:
+        """Empties what a lost run left behind where this one has nothing to write."""
+        if path_exists(self.spark, path):
+            empty(self.spark, "bucket string, row int").write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+    # -- writing -----------------------------------------------------------------
 
-    def stage(self, table: str, rows: DataFrame, touched: set[str] | None = None):
-        """Writes new directories for the touched buckets (all if None).
+    def bucket_of(self, key: Column) -> Column:
+        return F.substring(key, 1, self.hex_digits)
 
-        Rebalancing lets AQE split a bucket that one page dominates and merge
-        small ones, so files come out even.
+    def _write(self, placed: DataFrame, path: str, by: list, counts: dict, mode: str = "overwrite") -> dict:
+        """Rebalancing lets AQE split a bucket that one page dominates and merge small ones.
+
+        The counts are taken behind it, in the tasks that write, so no row is read for them again.
         """
-        schema, key = TABLES[table]
-        version = uuid.uuid4().hex
-        place = f"{table}/version={version}"
-        bucket = F.lit(WHOLE) if key is None else self.bucket_of(key)
-        placed = rows.select(*schema.fieldNames(), bucket.alias("bucket"))
-        if key is not None:
-            placed = placed.hint("rebalance", "bucket")
-        placed.write.partitionBy("bucket").parquet(
-            f"{self.root}/{place}"
-        )
-        return version, touched, self._names(f"{place}/bucket=*")
+        seen = Observation()
+        watched = placed.hint("rebalance", *by).observe(seen, *[c.alias(n) for n, c in counts.items()])
+        watched.write.mode(mode).partitionBy(*by).parquet(path)
+        return seen.get
+
+    def append(self, table: str, rows: DataFrame) -> int:
+        """Writes rows of the coming batch; returns their number."""
+        shape = TABLES[table]
+        bucket = F.lit("all") if shape.key is None else self.bucket_of(shape.key_column())
+        placed = rows.select(*shape.schema.fieldNames(), bucket.alias("bucket"))
+        self._written.add(table)
+        found = self._write(placed, f"{self.root}/{table}/batch={self.next_batch}", ["bucket"], {"n": F.count(F.lit(1))})
+        return found["n"]
+
+    def remove(self, keys: DataFrame) -> dict:
+        """Writes ``table, key, counted`` of rows that the coming batch removes or replaces; further calls add to it.
+
+        Older rows with such a key are gone once it is committed, its own stay.  Returns
+        the number of counted keys by table.
+        """
+        counts = {
+            name: F.count_if((F.col("table") == name) & F.col("counted")) for name, t in TABLES.items() if t.key
+        }
+        mode = "append" if "removed" in self._written else "overwrite"
+        self._written.add("removed")
+        placed = keys.select("table", "key", "counted", self.bucket_of(F.col("key")).alias("bucket"))
+        return self._write(placed, f"{self.root}/removed/batch={self.next_batch}", ["table", "bucket"], counts, mode)
+
+    # -- reading -----------------------------------------------------------------
 
-    def staged_rows(self, table: str, staged) -> DataFrame:
-        """Rows just staged, read back from storage."""
-        version, _, written = staged
-        return self._load(table, [(b, version) for b in written])
+    def near(self, ids: DataFrame, key: str = "id") -> "Near":
+        """The buckets of some page ids and the keys that were removed in them, worked out once.
+
+        There are at most 16 ** hex_digits buckets, so their broadcast is bounded; the
+        comparison lets the optimizer prune partitions by them at run time.
+        """
+        buckets = checkpointed(ids.select(self.bucket_of(F.col(key)).alias("bucket")).distinct()).where("bucket > ''")
+        removed = self._rows("removed", _REMOVED, min(self.state()[1].values()) + 1)
+        return Near(buckets, checkpointed(removed.join(F.broadcast(buckets), "bucket", "left_semi")))
+
+    def _rows(self, name: str, schema: T.StructType, first: int) -> DataFrame:
+        stored = read_or_empty(self.spark, f"{self.root}/{name}", schema)
+        return stored.where(F.col("batch").between(first, self.state()[0]))
+
+    def placed(self, table: str, near: "Near | None" = None) -> DataFrame:
+        """Current rows with ``key``, ``bucket`` and ``batch``; ``near`` limits them to some buckets."""
+        since = self.state()[1][table]
+        shape = TABLES[table]
+        rows = self._rows(table, T.StructType([*shape.schema.fields, *_PLACE]), since)
+        if shape.key is None:
+            return rows
+        if near is None:
+            removed = self._rows("removed", _REMOVED, since + 1)
+        else:
+            rows, removed = rows.join(F.broadcast(near.buckets), "bucket", "left_semi"), near.removed
+        gone = removed.where(F.col("table") == table).select(F.col("key").alias("_key"), F.col("batch").alias("_batch"))
+        rows = rows.withColumn("key", shape.key_column())
+        return rows.join(gone, (F.col("key") == F.col("_key")) & (F.col("_batch") > F.col("batch")), "left_anti")
+
+    def read(self, table: str, near: "Near | None" = None) -> DataFrame:
+        """Current rows of a table; empty if never written."""
+        return self.placed(table, near).select(*TABLES[table].schema.fieldNames())
+
+    def appended(self, table: str) -> DataFrame:
+        """Rows that were appended for the coming batch, read back from storage."""
+        shape, number = TABLES[table], self.next_batch
+        stored = T.StructType([*shape.schema.fields, _PLACE[0]])
+        rows = read_or_empty(self.spark, f"{self.root}/{table}/batch={number}", stored)
+        return rows.select(*shape.schema.fieldNames())
+
+    def compact(self, tables, batch_id: str) -> None:
+        """Rewrites the current rows of tables, so that readers need no older batch of them."""
+        if self.begin(batch_id):
+            for table in tables:
+                self.append(table, self.read(table))
+            self.commit(batch_id, replaced=tables)

@@ -11,8 +11,7 @@ from corpuslake.operators.changes import from_keyed_maps
 def path_exists(spark: SparkSession, path: str) -> bool:
     """Whether a path or glob names anything on its file system."""
     hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(hadoop)
+    found = hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(hadoop)
     return found is not None and len(found) > 0
 
 
@@ -94,17 +93,12 @@ def read_collections(spark: SparkSession, folder: str, model: str) -> DataFrame:
     return from_json_documents(found.select("*", name.alias("file_name")))
 
 
-def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
+def empty(spark: SparkSession, schema) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def read_or_empty(spark: SparkSession, path: str, schema: T.StructType, fmt: str = "parquet") -> DataFrame:
+def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:
     """A stored table, or no rows of its schema when it was never written."""
     if not path_exists(spark, path):
         return empty(spark, schema)
     return spark.read.schema(schema).format(fmt).load(path)
-
-
-def read_any(spark: SparkSession, path: str, fmt: str, **options) -> DataFrame:
-    """Any Spark source on any Hadoop file system."""
-    return spark.read.format(fmt).options(**options).load(path)

@@ -90,9 +90,3 @@ def write_id_lists(ids: DataFrame, path: str, per_list: int = ENTRIES_PER_FILE)
     shard = F.pmod(F.xxhash64("unique_id"), F.lit(shards_for(ids.count(), per_list)))
     lists = distinct.groupBy(shard.alias("shard")).agg(F.collect_list("unique_id").alias("ids"))
     lists.select(F.to_json("ids")).write.text(path)
-
-
-def write_any(df: DataFrame, path: str, fmt: str, mode: str = "errorifexists", **options) -> str:
-    """Any Spark sink; returns the location."""
-    df.write.format(fmt).mode(mode).options(**options).save(path)
-    return path
