@@ -31,6 +31,7 @@ LIST_ROWS = 4096  # about so many vectors per list, and at most about so many pe
 SUBSPACES = 8
 CODES = 64
 SHARES = 4  # tasks that a salt's queries are dealt to
+BLOCK_ROWS = 2048  # vectors assigned to lists at once
 QUERY_ROWS = 256  # queries measured against a salt at once
 _SLACK = 1e-6  # room for rounding where vectors are discarded
 
@@ -39,11 +40,18 @@ _SLACK = 1e-6  # room for rounding where vectors are discarded
 class Codebooks:
     centroids: np.ndarray  # (lists, dims)
     words: np.ndarray  # (subspaces, codes, dims of a subspace)
+    distances: np.ndarray | None = None
 
     @property
     def width(self) -> int:
         return self.words.shape[0] * self.words.shape[2]
 
+    def between(self) -> np.ndarray:
+        """Distances of the centroids from each other, worked out once per task."""
+        if self.distances is None:
+            self.distances = np.sqrt(_squares(self.centroids, self.centroids))
+        return self.distances
+
     def pad(self, x: np.ndarray) -> np.ndarray:
         """Vectors of any length, cut or filled with zeros only for coding; distances stay exact elsewhere."""
         if x.shape[1] >= self.width:
@@ -51,6 +59,20 @@ class Codebooks:
         return np.pad(x, ((0, 0), (0, self.width - x.shape[1])))
 
 
+def _squares(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
+    """Squared distances, rows by centres, without an array of their differences."""
+    found = (x**2).sum(1)[:, None] - 2 * (x @ centres.T) + (centres**2).sum(1)
+    return np.maximum(found, 0.0, out=found)
+
+
+def _blocks(lengths: np.ndarray):
+    """Places of vectors of one length, at most BLOCK_ROWS at a time."""
+    for dims in np.unique(lengths):
+        at = np.flatnonzero(lengths == dims)
+        for k in range(0, len(at), BLOCK_ROWS):
+            yield at[k : k + BLOCK_ROWS]
+
+
 def _nearest(x: np.ndarray, centres: np.ndarray) -> np.ndarray:
     return np.argmin((centres**2).sum(1) - 2 * (x @ centres.T), axis=1)
 
@@ -119,12 +141,11 @@ def _assigned(classes: DataFrame, books: Codebooks, link: float) -> DataFrame:
         out = {"list": [], "codes": [], "error": [], "probes": []}
         lengths = vectors.map(len).to_numpy()
         result = pd.DataFrame(index=range(len(vectors)), columns=list(out), dtype=object)
-        between = np.linalg.norm(model.centroids[:, None] - model.centroids[None], axis=2)
-        for dims in np.unique(lengths):
-            at = np.flatnonzero(lengths == dims)
+        between = model.between()
+        for at in _blocks(lengths):
             full = _unit(np.stack([np.asarray(vectors.iloc[k], dtype=np.float64) for k in at]))
             x = model.pad(full)
-            squares = ((x[:, None] - model.centroids[None]) ** 2).sum(2)
+            squares = _squares(x, model.centroids)
             own = squares.argmin(1)
             nearest = squares[np.arange(len(x)), own]
             reach = (squares - nearest[:, None]) <= 2 * (link + _SLACK) * between[own]

@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpuslake.llm.words import held_out
+from corpuslake.llm.words import held_out, least_hashed
 
 SIZES = (3, 4)
 SAMPLE_PER_LANGUAGE = 2000  # labelled documents per language that the fit looks at
+MOST_LANGUAGES = 256  # languages that are learnt, the commonest first
 PER_LANGUAGE = 30_000  # n-grams kept per language
 SLOTS = 1 << 20
 PROBES = 2
@@ -136,16 +137,15 @@ def fit(
     """Filters learnt from the text and language of documents outside the test fold.
 
     Rows with a null text, language or id are not learnt from.  Of each language the
-    documents with the smallest hash of their id are taken.  Without any, the filters
+    documents with the smallest hash of their id are taken, of at most MOST_LANGUAGES languages.  Without any, the filters
     know no language.
     """
     usable = docs.select("doc_id", "lang", "text").where(F.col("text").isNotNull() & F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
     usable = usable.where(~held_out(F.col("doc_id")))
     ids = usable.select(F.col("doc_id").alias("_id"), F.col("lang").alias("_lang"))
-    order = Window.partitionBy("_lang").orderBy(F.xxhash64("_id"), "_id")
-    chosen = ids.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= sample_per_language)
-    chosen = chosen.select("_id", "_lang").distinct()
-    sample = usable.join(chosen, (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
+    chosen = least_hashed(ids, "_lang", "_id", sample_per_language, MOST_LANGUAGES)
+    # At most ``sample_per_language * MOST_LANGUAGES`` pairs, so the texts need no shuffle.
+    sample = usable.join(F.broadcast(chosen), (F.col("doc_id") == F.col("_id")) & (F.col("lang") == F.col("_lang")), "left_semi")
     counted = ngram_counts(sample)
     totals = Window.partitionBy("lang")
     top = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")

@@ -261,16 +261,16 @@ def mixed_documents(docs: DataFrame, block: int = BLOCK) -> DataFrame:
         & (own["_size"] == spans["_ksize"])
         & (own["_rank"] == spans["_krank"]),
     )
-    words = F.regexp_extract_all(F.col("_row.text"), F.lit(WORD_PATTERN), F.lit(0))
-    copies = found.select(
-        "_row", "_spans", words.alias("_words"), F.explode(F.array(*[F.lit(c) for c in range(1, MOST + 1)])).alias("_copy")
+    # The words are bound to a variable, so they are cut out once for all spans and copies; the
+    # outer form of explode keeps the optimizer from working the texts out a second time.
+    texts = F.expr(
+        rf"""element_at(transform(array(regexp_extract_all(_row.text, '{WORD_PATTERN.replace(chr(92), chr(92) * 2)}', 0)), w ->
+            transform(sequence(1, {MOST}), copy -> array_join(flatten(transform(_spans, s ->
+                slice(w, cast(s.inside as int) + 1,
+                    cast(case when s.times >= copy then s.length when s.times = copy - 1 then s.part else 0 end as int))
+            )), ' '))), 1)"""
     )
-    taken = F.expr(
-        """array_join(flatten(transform(_spans, s -> slice(_words, cast(s.inside as int) + 1,
-            cast(case when s.times >= _copy then s.length when s.times = _copy - 1 then s.part else 0 end as int)
-        ))), ' ')"""
-    )
-    copies = copies.select("_row", taken.alias("_taken")).where("_taken <> ''")
+    copies = found.select("_row", F.explode_outer(texts).alias("_taken")).where("_taken <> ''")
     kind = dict(docs.dtypes)
     new = {"text": F.col("_taken"), "n_chars": F.length("_taken")}
     return copies.select(

@@ -16,10 +16,10 @@ from dataclasses import dataclass, field
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslake.llm.words import held_out
+from corpuslake.llm.words import held_out, least_hashed
 from corpuslake.sources.scratch import checkpointed
 
 SAMPLE_PER_LABEL = 4000  # labelled documents per label that the fit looks at
@@ -92,10 +92,8 @@ def _labelled_sample(docs: DataFrame, labels: DataFrame, per_label: int) -> Data
     """``(doc_id, text, toxic)`` of at most ``per_label`` documents of either label outside the test fold."""
     known = labels.where(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
     known = known.where(~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    order = Window.partitionBy("toxic").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.withColumn("_rank", F.row_number().over(order)).where(F.col("_rank") <= per_label)
     # At most twice ``per_label`` rows of two numbers.
-    chosen = F.broadcast(chosen.select("doc_id", "toxic"))
+    chosen = F.broadcast(least_hashed(known, "toxic", "doc_id", per_label, 2))
     return docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(chosen, "doc_id")
 
 
