@@ -936,15 +936,10 @@ def refreshed_bm25(spark, d):
     """Statistics refreshed from the changes of an update: as if made over all pages."""
     lake = _loaded(spark, d)
     jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS, batch_id="update", refresh_bm25=True)
-    return jobs.stored_bm25(lake)[0].select("term", "df", F.round("idf", 6).alias("idf"))
-
-
-@query
-def refreshed_bm25_params(spark, d):
-    """The parameters that go with ``refreshed_bm25``."""
-    lake = _loaded(spark, d)
-    jobs.apply_changes(lake, _feed(spark, d), fx.crawl(spark, d), SETTINGS, batch_id="update", refresh_bm25=True)
-    return jobs.stored_bm25(lake)[1].withColumns({c: F.round(c, 6) for c in ("avgdl", "avg_idf")})
+    terms, params = jobs.stored_bm25(lake)
+    numbers = {"n_docs": params.select("n_docs").scalar()}
+    numbers |= {c: F.round(params.select(c).scalar(), 6) for c in ("avgdl", "avg_idf")}
+    return terms.select("term", "df", F.round("idf", 6).alias("idf"), *[v.alias(c) for c, v in numbers.items()])
 
 
 def _feeds(spark, d):
@@ -958,7 +953,7 @@ def late_change_sets(spark, d):
     """Pages after the newer of two change sets was applied before the older one."""
     lake = _loaded(spark, d, 0)
     older, newer = _feeds(spark, d)
-    for n, feed in enumerate((newer, older, newer)):
+    for n, feed in enumerate((newer, older)):
         jobs.apply_changes(lake, feed, fx.crawl(spark, d), SETTINGS, batch_id=f"b{n}")
     return lake.read("pages").select("id", "url", "last_updated", "extracted_content")
 

@@ -244,11 +244,6 @@ def effective_changes(lake: Lake, latest: DataFrame, near) -> DataFrame:
     return joined.where(~(late & F.col("_done"))).withColumn("newer", F.when(late, F.col("_state"))).drop("_known", "_done", "_state")
 
 
-def upsert_pages(new_pages: DataFrame, old_pages: DataFrame) -> DataFrame:
-    """Merges enriched pages; nulls keep old values, incomplete pages go."""
-    return enrich.drop_incomplete(merge.upsert_keep_values(new_pages, old_pages))
-
-
 def _removals(table: str, rows: DataFrame, counted) -> DataFrame:
     return rows.select(F.lit(table).alias("table"), "key", counted.alias("counted"))
 
@@ -275,7 +270,9 @@ def apply_changes(
     """
     if not lake.begin(batch_id):
         return None
-    newest = changes.latest_changes(feed)
+    newest = checkpointed(changes.latest_changes(feed))
+    if newest.isEmpty():
+        return None
     near = lake.near(newest)
     latest = checkpointed(effective_changes(lake, newest, near))
     if latest.isEmpty():

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from corpuslake.catalog import fixtures as fx
 from corpuslake.functions.embedding import HashingEmbedder
-from corpuslake.operators import changes, documents, enrich
+from corpuslake.operators import bm25, changes, documents, enrich
 from corpuslake.plans import jobs
 from corpuslake.sources import readers, writers
 from corpuslake.sources.lake import Lake
@@ -90,6 +90,21 @@ def test_parser_and_model_run_once_per_row(spark):
         assert python_nodes(frame, "embed") == 1
 
 
+def test_postings_are_unfolded_and_counted_once(spark):
+    corpus = fx.corpus(spark, SF_DIR)
+    terms, params = bm25.build_bm25(corpus, "extracted_content", "doc_id")
+    rows = corpus.select(F.col("id").alias("unique_id"), F.col("extracted_content").alias("text"))
+    found = bm25.sparse_weights(rows, terms, params)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Generate explode") == 1
+    # The form of the lookup changes no row: no term frequent, some, all.
+    outcomes = {
+        tuple(sorted((r.unique_id, r.term_idx, round(r.score, 9)) for r in bm25.sparse_weights(rows, terms, params, hot_terms=n).collect()))
+        for n in (0, 200, 10**9)
+    }
+    assert len(outcomes) == 1
+
+
 class Dead:
     def embed_documents(self, texts):
         raise RuntimeError("no model")
