@@ -20,8 +20,6 @@ Before rows leave a batch of documents, equal anchors, stretches and windows in
 combined, so a passage that a third of all documents hold costs a row per batch.
 """
 
-from itertools import repeat
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -34,7 +32,11 @@ from corpuslake.sources.scratch import checkpointed
 WINDOW = 13
 RUN = 6
 HOT_SHARE = 50_000
+BLOCK = 1 << 17  # bytes hashed at once
 _LAST = (1 << 63) - 1
+# Any odd number serves; its inverse modulo 2^64 takes a power back.
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
 class SuffixAutomaton:
@@ -101,18 +103,79 @@ def _stir(x):
     return x ^ (x >> np.uint64(31))
 
 
-def _anchors(found: list[bytes]) -> np.ndarray:
-    """The anchor of every window of a document's words."""
-    single = np.fromiter(map(xxhash.xxh64_intdigest, found, repeat(0)), dtype="u8", count=len(found))
-    n = len(found) - RUN + 1
-    run = np.zeros(n, dtype="u8")
-    for k in range(RUN):
-        run = _stir(run + single[k : k + n] + np.uint64(k + 1))
-    windows = len(found) - WINDOW + 1
-    least = run[:windows]
-    for k in range(1, WINDOW - RUN + 1):
-        least = np.minimum(least, run[k : k + windows])
-    return least
+def _word_hashes(byte: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Polynomials of the words' bytes in ``_BASE``, stirred, from running sums over ``BLOCK`` bytes or a longer word."""
+    hashes = np.empty(len(left), dtype="u8")
+    cuts = np.unique(np.searchsorted(left, np.arange(0, len(byte) + BLOCK, BLOCK)))
+    for first, last in zip(cuts[:-1], cuts[1:]):
+        begin, end = left[first:last] - left[first], right[first:last] - left[first]
+        part = byte[left[first] : right[last - 1]].astype("u8") + np.uint64(1)
+        powers = np.full(len(part), _BASE)
+        powers[0] = 1
+        sums = np.concatenate([np.zeros(1, dtype="u8"), np.cumsum(part * np.cumprod(powers))])
+        powers[1:] = _INVERSE
+        hashes[first:last] = (sums[end] - sums[begin]) * np.cumprod(powers)[begin]
+    return _stir(hashes)
+
+
+class _Block:
+    """Some texts on end: the byte ``left`` and ``right`` of every word, its text's number, and the words' hashes."""
+
+    def __init__(self, texts: list[bytes]):
+        self.raw = b" ".join(texts)
+        byte = np.frombuffer(self.raw, np.uint8)
+        # A blank is a space or one of 0x09 to 0x0D, as for ``words``.
+        solid = np.concatenate([[False], (byte != 32) & (byte - np.uint8(9) > 4), [False]])
+        edges = np.flatnonzero(solid[1:] != solid[:-1])
+        self.left, self.right = edges[::2], edges[1::2]
+        begins = np.cumsum([0, *(len(text) + 1 for text in texts)])
+        #: The number of words before each text, and of all.
+        self.before = np.searchsorted(self.left, begins)
+        self.hashes = _word_hashes(byte, self.left, self.right)
+        # Gaps that are not one space.
+        odd = (self.left[1:] - self.right[:-1] != 1) | (byte[self.right[:-1]] != 32)
+        self._odd = np.concatenate([[0], np.cumsum(odd)])
+
+    def pieces(self, start: np.ndarray, stop: np.ndarray):
+        """Words ``start`` to ``stop`` (at least one), joined by one space."""
+        plain = self._odd[stop - 1] == self._odd[start]
+        for a, b, as_is in zip(self.left[start].tolist(), self.right[stop - 1].tolist(), plain.tolist()):
+            yield self.raw[a:b] if as_is else b" ".join(words(self.raw[a:b]))
+
+    def anchor_runs(self) -> tuple[np.ndarray, ...]:
+        """``(owner, start, end, anchor)``: neighbouring windows of one text that share their anchor.
+
+        ``start`` and ``end`` count the block's words; windows reach into no other text.
+        """
+        total = len(self.left)
+        windows = total - WINDOW + 1
+        if windows < 1:
+            none = np.empty(0, np.int64)
+            return none, none, none, none.astype("u8")
+        run = np.zeros(total - RUN + 1, dtype="u8")
+        for k in range(RUN):
+            run = _stir(run + self.hashes[k : k + len(run)] + np.uint64(k + 1))
+        least = run[:windows]
+        for k in range(1, WINDOW - RUN + 1):
+            least = np.minimum(least, run[k : k + windows])
+        owner = np.repeat(np.arange(len(self.before) - 1), np.diff(self.before))[:windows]
+        inside = np.arange(windows) + WINDOW <= self.before[owner + 1]
+        same = (least[1:] == least[:-1]) & (owner[1:] == owner[:-1]) & (inside[1:] == inside[:-1])
+        start = np.flatnonzero(np.concatenate([[True], ~same]))
+        end = np.append(start[1:], windows)
+        whole = inside[start]
+        start, end = start[whole], end[whole]
+        return owner[start], start, end, least[start]
+
+
+def _blocks(texts: list[bytes]):
+    """``(first, block)``: texts ``first``, ``first + 1``, ..., whole, some ``BLOCK`` bytes at a time."""
+    first, size = 0, 0
+    for k, raw in enumerate(texts, 1):
+        size += len(raw) + 1
+        if size >= BLOCK or k == len(texts):
+            yield first, _Block(texts[first:k])
+            first, size = k, 0
 
 
 def _pack(high: np.ndarray) -> bytes:
@@ -148,17 +211,18 @@ def _sightings(rows: DataFrame, shards: int) -> DataFrame:
         for batch in batches:
             rids = batch.column("rid").to_numpy()
             anchors, owners = [], []
-            for k, raw in enumerate(utf8_list(batch.column("text"))):
-                found = words(raw)
-                if len(found) >= WINDOW:
-                    own = np.unique(_anchors(found))
-                    anchors.append(own)
-                    owners.append(np.full(len(own), k, dtype=np.uint32))
+            for first, block in _blocks(utf8_list(batch.column("text"))):
+                owner, _, _, anchor = block.anchor_runs()
+                anchors.append(anchor)
+                owners.append((owner + first).astype(np.uint32))
             out = []
-            if anchors:
+            if sum(map(len, anchors)):
                 anchors, owners = np.concatenate(anchors), np.concatenate(owners)
                 order = np.argsort(anchors, kind="stable")
                 anchors, owners = anchors[order], owners[order]
+                # Each document counts once.
+                once = np.concatenate([[True], (anchors[1:] != anchors[:-1]) | (owners[1:] != owners[:-1])])
+                anchors, owners = anchors[once], owners[once]
                 starts = _cuts(anchors)
                 counts = np.diff(np.append(starts, len(anchors)))
                 many = np.repeat(counts > 1, counts)
@@ -246,6 +310,29 @@ def _reports(sightings: DataFrame, shards: int) -> DataFrame:
     return dealt.mapInArrow(run, "rid long, shared binary, n long")
 
 
+def _told_stretches(block: _Block, lists: list[bytes], first: int, often: np.ndarray):
+    """``(document, start, stop, anchor, single, text)``: its words around each anchor reported to it in ``lists``.
+
+    ``single`` marks windows of anchors in ``often``, which are given one by one.  The
+    block's documents follow ``first`` in ``lists`` and are counted from there.
+    """
+    lists = lists[first : first + len(block.before) - 1]
+    owner, start, end, anchor = block.anchor_runs()
+    told = np.repeat(np.arange(len(lists)), [len(x) // 5 for x in lists]).astype("u8") << np.uint64(40)
+    told |= _unpack(b"".join(lists))
+    wanted = np.isin(owner.astype("u8") << np.uint64(40) | anchor >> np.uint64(24), told)
+    owner, start, end, anchor = owner[wanted], start[wanted], end[wanted], anchor[wanted]
+    single = np.isin(anchor >> np.uint64(24), often)
+    times = np.where(single, end - start, 1)
+    which = np.repeat(np.arange(len(times)), times)
+    begin = start[which] + np.arange(len(which)) - np.repeat(np.cumsum(times) - times, times)
+    owner, single = owner[which], single[which]
+    stop = np.where(single, begin + 1, end[which]) + WINDOW - 1
+    place = block.before[owner]
+    columns = (owner, begin - place, stop - place, anchor[which].view(np.int64), single)
+    return zip(*(column.tolist() for column in columns), block.pieces(begin, stop))
+
+
 _STRETCHES = "shard int, anchor long, sub long, id long, hash long, rid long, words binary, starts binary"
 _STRETCHES_NAMES = [part.split()[0] for part in _STRETCHES.split(", ")]
 
@@ -258,44 +345,31 @@ def _stretches(told: DataFrame, hot: np.ndarray, shards: int) -> DataFrame:
         often = shared_hot.value
         for batch in batches:
             ids, hashes, rids = (batch.column(c).to_pylist() for c in ("id", "hash", "rid"))
+            lists = [b"".join(x) for x in batch.column("lists").to_pylist()]
             # Per stretch the row with the least id and all places where that row has it.
-            seen: dict[tuple, tuple] = {}
+            seen: dict[bytes | tuple, tuple] = {}
             found: dict[int, list] = {}
-            for k, (raw, lists) in enumerate(zip(utf8_list(batch.column("text")), batch.column("lists").to_pylist())):
-                own = words(raw)
-                if len(own) < WINDOW:
-                    continue
-                anchors = _anchors(own)
-                high = anchors >> np.uint64(24)
-                wanted = np.flatnonzero(np.isin(high, np.unique(np.concatenate([_unpack(x) for x in lists]))))
-                if not len(wanted):
-                    continue
-                single = np.isin(high[wanted], often)
-                # A new stretch where windows do not follow each other, the anchor changes, or the anchor is hot.
-                new = np.concatenate([[True], (wanted[1:] != wanted[:-1] + 1) | (anchors[wanted[1:]] != anchors[wanted[:-1]])])
-                begins = np.flatnonzero(new | single)
-                for begin, end in zip(begins, np.append(begins[1:], len(wanted))):
-                    start, stop = int(wanted[begin]), int(wanted[end - 1]) + WINDOW
-                    text = b" ".join(own[start:stop])
-                    anchor = int(anchors[start].astype(np.int64))
-                    sub = xxhash.xxh64_intdigest(text, 1) - (1 << 63) if single[begin] else 0
-                    key = (anchor, sub, text)
-                    first = seen.get(key)
-                    if first is None or ids[k] < ids[first[0]]:
-                        if first is not None:
-                            found.setdefault(first[0], []).extend((place, stop - start) for place in first[1])
-                        seen[key] = (k, [start])
-                    elif ids[k] > ids[first[0]]:
+            for first, block in _blocks(utf8_list(batch.column("text"))):
+                for k, start, stop, anchor, single, text in _told_stretches(block, lists, first, often):
+                    k += first
+                    held = seen.get(text)
+                    if held is None:
+                        seen[text] = (k, [start], anchor, single)
+                    elif k == held[0]:
+                        held[1].append(start)
+                    elif ids[k] > ids[held[0]]:
                         found.setdefault(k, []).append((start, stop - start))
-                    elif k == first[0]:
-                        first[1].append(start)
+                    elif ids[k] < ids[held[0]]:
+                        found.setdefault(held[0], []).extend((place, stop - start) for place in held[1])
+                        seen[text] = (k, [start], anchor, single)
                     else:
-                        seen.setdefault(key + (k,), (k, []))[1].append(start)
+                        seen.setdefault((text, k), (k, [], anchor, single))[1].append(start)
             out = []
-            for (anchor, sub, text, *_), (k, places) in seen.items():
-                shard = (anchor * 31 + sub) % shards
+            for text, (k, places, anchor, single) in seen.items():
+                text = text if isinstance(text, bytes) else text[0]
+                sub = xxhash.xxh64_intdigest(text, 1) - (1 << 63) if single else 0
                 starts = np.array(places, dtype="<i4")
-                out.append((shard, anchor, sub, ids[k], hashes[k], rids[k], text, starts.tobytes()))
+                out.append(((anchor * 31 + sub) % shards, anchor, sub, ids[k], hashes[k], rids[k], text, starts.tobytes()))
             for k, spans in found.items():
                 starts = np.concatenate([np.arange(start, start + length - WINDOW + 1) for start, length in spans])
                 out.append((rids[k] % shards, None, None, ids[k], hashes[k], rids[k], None, starts.astype("<i4").tobytes()))
@@ -383,9 +457,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     shards = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = _keyed(docs)
-    # Anchors are small: fewer shards for them, so that a document is reported to in fewer rows.
-    anchor_shards = max(12, shards // 3)
-    reports = checkpointed(_reports(_sightings(rows, anchor_shards), anchor_shards))
+    reports = checkpointed(_reports(_sightings(rows, shards), shards))
     total = reports.where("rid is null and shared is null").agg(F.sum("n")).first()[0] or 0
     least = max(8, total // HOT_SHARE)
     # At most HOT_SHARE anchors can have so many of all sightings.

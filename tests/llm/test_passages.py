@@ -90,3 +90,33 @@ def test_passages_repeated_inside_a_document(spark, monkeypatch):
             for parts in (1, 6):
                 frame = spark.createDataFrame(rows, DOCS).coalesce(1) if parts == 1 else spark.createDataFrame(rows, DOCS).repartition(parts)
                 assert as_rows(rep.without_repeats(frame)) == expected(rows)
+
+
+def test_blocks_give_words_anchors_and_pieces_of_each_text(monkeypatch):
+    texts = [
+        b"", b" \t\r\n\x0b\x0c ", b"one", *(" ".join(f"w{(7 * k + n) % 23} é" for n in range(60)).encode() for k in range(4)),
+        b"  a\tb  c\n" * 20, b"x" * 500, b"\x1c \x1c\x1d z " * 15, " ".join("ab" * (n % 5 + 1) for n in range(90)).encode(),
+    ]
+    hashes = {}
+    for size in (1, 64, 1 << 17):
+        monkeypatch.setattr(rep, "BLOCK", size)
+        runs = []
+        for first, block in rep._blocks(texts):
+            for k, text in enumerate(texts[first : first + len(block.before) - 1]):
+                a, b = block.before[k], block.before[k + 1]
+                split = text.split()
+                assert [block.raw[x:y] for x, y in zip(block.left[a:b], block.right[a:b])] == split
+                for word, value in zip(split, block.hashes[a:b].tolist()):
+                    assert hashes.setdefault(word, value) == value
+            owner, start, end, anchor = block.anchor_runs()
+            for o, s, e, whole in zip(owner, start, end, block.pieces(start, end + rep.WINDOW - 1)):
+                split, s, e = texts[first + o].split(), s - block.before[o], e - block.before[o]
+                assert whole == b" ".join(split[s : e + rep.WINDOW - 1])
+            runs += zip((owner + first).tolist(), (start - block.before[owner]).tolist(), (end - start).tolist(), anchor.tolist())
+        windows = {(o, s + k): a for o, s, n, a in runs for k in range(n)}
+        assert len(windows) == sum(max(0, len(t.split()) - rep.WINDOW + 1) for t in texts)
+        # Equal windows have equal anchors, whatever lies around them.
+        by_words = {}
+        for (o, s), a in windows.items():
+            assert by_words.setdefault(tuple(texts[o].split()[s : s + rep.WINDOW]), a) == a
+    assert len(set(hashes.values())) == len(hashes)
