@@ -3,8 +3,9 @@
 Each round replaces every edge by edges to smaller neighbours (large star, then
 small star), so long chains shorten by halves; the graph ends as one star per
 component.  All state is edges in reliable checkpoints; the driver sees two
-numbers per round.  Stars with many leaves are joins on one key whose other side
-has a single row, which adaptive execution splits.
+numbers per round.  A star may hold most of all edges, so nodes with more than
+1/``HUB_SHARE`` of them (at most twice ``HUB_SHARE`` nodes, whatever the graph) get
+their least neighbour by broadcast; only edges of other nodes meet theirs by key.
 """
 
 from pyspark.sql import DataFrame
@@ -13,17 +14,29 @@ from pyspark.sql import functions as F
 from corpuslake.sources.scratch import checkpointed
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
+HUB_SHARE = 10_000
+
+
+def _with_least(rows: DataFrame, edges: DataFrame, many: int) -> DataFrame:
+    """``rows (u, v)`` with ``m``, the least ``v`` of ``u`` in ``edges``; a ``u`` of more than ``many`` edges is a hub."""
+    least = edges.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("n"))
+    hubs = least.where(F.col("n") > many).select(F.col("u").alias("hub"), "m")
+    tried = rows.join(F.broadcast(hubs), F.col("u") == F.col("hub"), "left")
+    rest = tried.where("hub is null").select("u", "v").join(least.where(F.col("n") <= many).select("u", "m"), "u")
+    return tried.where("hub is not null").select("u", "v", "m").unionByName(rest)
+
+
+def _large_star(edges: DataFrame, many: int) -> DataFrame:
     both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    return both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    met = _with_least(both.where("v > u"), both, many)
+    return met.select(F.col("v").alias("u"), F.least("u", "m").alias("v"))
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, many: int) -> DataFrame:
     """Edges point from the larger to the smaller end."""
-    least = edges.groupBy("u").agg(F.min("v").alias("m"))
-    moved = edges.join(least, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-    return moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct()
+    met = _with_least(edges, edges, many)
+    moved = met.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    return moved.unionByName(met.where("v = m").select("u", "v")).distinct()
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
@@ -42,7 +55,8 @@ def connected_components(edges: DataFrame) -> DataFrame:
         if mark == before or not mark[0]:
             break
         before = mark
-        edges = checkpointed(_small_star(_large_star(edges)))
+        many = mark[0] // HUB_SHARE
+        edges = checkpointed(_small_star(_large_star(edges, many), many))
     leaves = edges.select(F.col("u").alias("node"), F.col("v").alias("component"))
     centres = edges.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     return leaves.unionByName(centres)

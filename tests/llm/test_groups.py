@@ -3,12 +3,14 @@
 import hashlib
 import math
 import random
+from collections import Counter
 from itertools import combinations
 
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from corpuslake.llm import components
 from corpuslake.llm import fingerprints as fing
 from corpuslake.llm import simhash_groups as sim
 from corpuslake.llm.components import connected_components
@@ -37,7 +39,9 @@ def plain_simhash(text):
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def test_components_of_chains_stars_and_loops(spark):
+@pytest.mark.parametrize("share", [1, 20, 10_000])  # no, some and all nodes are hubs
+def test_components_of_chains_stars_and_loops(spark, monkeypatch, share):
+    monkeypatch.setattr(components, "HUB_SHARE", share)
     rng = random.Random(5)
     edges = [(k, k + 1) for k in range(200)] + [(500, k) for k in range(501, 700)] + [(900, 900), (None, 3), (901, 902)] * 2
     edges += [(rng.randrange(2000, 2300), rng.randrange(2000, 2300)) for _ in range(220)]
@@ -102,6 +106,42 @@ def test_near_groups_of_awkward_rows(spark):
     assert sim.near_groups(empty).count() == 0 and sim.one_of_each_group(empty).count() == 0
 
 
+def plain_fingerprint(text):
+    """Bit by bit: each distinct word or run of five words votes with the logarithm of its count."""
+    mask = (1 << 64) - 1
+
+    def stir(x, salt):
+        x ^= salt
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & mask
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    words = (text or "").encode().lower().split()
+    terms = Counter()
+    for word in words:
+        terms[1.0, xxhash.xxh64_intdigest(word)] += 1
+    for k in range(max(1, len(words) - 4) if words else 0):
+        mark = 0
+        for n, word in enumerate(words[k : k + 5], 1):
+            mark = stir(mark, n) + xxhash.xxh64_intdigest(word) & mask
+        terms[4.0, stir(mark, 5)] += 1
+    votes = [0.0] * 128
+    for (scale, term), n in terms.items():
+        bits = stir(term, 0x9E3779B97F4A7C15) | stir(term, 0xD1B54A32D192ED03) << 64
+        for b in range(128):
+            votes[b] += scale * math.log2(1 + n) * (1 if bits >> b & 1 else -1)
+    # A vote this close to a draw may fall either way in floating point.
+    return [None if abs(v) < 1e-9 and words else v > 0 for v in votes]
+
+
+def test_document_fingerprints_equal_bitwise_votes():
+    texts = [t for _, t, *_ in awkward_rows()] + ["a", "a b", "B b B a", "one two three four five six " * 9]
+    for text in texts:
+        mark = int.from_bytes(fing.fingerprint((text or "").encode()), "little")
+        for b, vote in enumerate(plain_fingerprint(text)):
+            assert vote is None or vote == bool(mark >> b & 1), (text, b)
+
+
 def follow(rows):
     """Rows in the order in which they follow each other."""
     return sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0))
