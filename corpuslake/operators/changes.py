@@ -1,10 +1,11 @@
 """Snapshot versions and the difference between two of them."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslake.operators.common import keep_last, single, unfold
 
+NO_ID = "\0"  # stands for a null id in JSON objects keyed by id
 COMPARED = ("url", "last_updated")
 CHANGE_TYPES = ("removed", "modified", "added")
 
@@ -133,23 +134,36 @@ def latest_changes(feed: DataFrame) -> DataFrame:
     return keep_last(feed, "id", [change_order()])
 
 
+def _entry() -> Column:
+    page = F.struct("url", F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated"))
+    return F.struct(F.coalesce("id", F.lit(NO_ID)).alias("id"), page)
+
+
+def _sharded(rows: DataFrame, shards: int, *document: str) -> DataFrame:
+    """Adds ``_shard`` and ``_turn``, 0 for the first row of an id, 1 for the next: an object holds a key once.
+
+    The rows of a shard are brought together here; grouping below it needs no exchange of its own.
+    """
+    whole = [c for c in document if c != "change_type"]
+    placed = rows.withColumn("_shard", F.pmod(F.xxhash64("id"), F.lit(shards))).repartition(*whole, "_shard")
+    same = Window.partitionBy(*document, "_shard", "id").orderBy("last_updated", "url")
+    return placed.withColumn("_turn", F.row_number().over(same) - 1)
+
+
 def to_change_sets(feed: DataFrame, shards: int = 1) -> DataFrame:
     """Rows -> change-set documents ``{removed, modified, added, timestamp}``.
 
-    ``shards`` splits the ids so that no document grows with the change set.
+    ``shards`` splits the ids so that no document grows with the change set.  Rows that
+    repeat an id in one kind of change go to further documents of their own.
     """
 
     def part(kind):
-        entry = F.struct(
-            F.col("id"),
-            F.struct("url", F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated")),
-        )
-        chosen = F.collect_list(F.when(F.col("change_type") == kind, entry))
+        chosen = F.collect_list(F.when(F.col("change_type") == kind, _entry()))
         return F.map_from_entries(chosen).alias(kind)
 
     return (
-        feed.withColumn("_shard", F.pmod(F.xxhash64("id"), F.lit(shards)))
-        .groupBy("change_ts", "_shard")
+        _sharded(feed, shards, "change_ts", "change_type")
+        .groupBy("change_ts", "_shard", "_turn")
         .agg(*[part(kind) for kind in CHANGE_TYPES])
         .select(*CHANGE_TYPES, F.col("change_ts").alias("timestamp"))
     )
@@ -163,7 +177,7 @@ def from_change_sets(documents: DataFrame) -> DataFrame:
         return F.transform(
             F.map_entries(F.coalesce(kind, empty)),
             lambda e: F.struct(
-                F.lit(kind).alias("change_type"), e["key"].alias("id"), e["value"].alias("page")
+                F.lit(kind).alias("change_type"), F.nullif(e["key"], F.lit(NO_ID)).alias("id"), e["value"].alias("page")
             ),
         )
 
@@ -178,14 +192,11 @@ def from_change_sets(documents: DataFrame) -> DataFrame:
 
 
 def to_keyed_maps(pages: DataFrame, shards: int = 1) -> DataFrame:
-    """Keyed page list -> JSON objects ``{id: {url, last_updated}}``, one per shard."""
-    entry = F.struct(
-        F.col("id"),
-        F.struct("url", F.date_format("last_updated", "yyyy-MM-dd").alias("last_updated")),
-    )
+    """Keyed page list -> JSON objects ``{id: {url, last_updated}}``, one per shard; further ones for repeated ids."""
     return (
-        pages.groupBy(F.pmod(F.xxhash64("id"), F.lit(shards)).alias("_shard"))
-        .agg(F.to_json(F.map_from_entries(F.collect_list(entry))).alias("value"))
+        _sharded(pages, shards)
+        .groupBy("_shard", "_turn")
+        .agg(F.to_json(F.map_from_entries(F.collect_list(_entry()))).alias("value"))
         .select("value")
     )
 
@@ -194,7 +205,7 @@ def from_keyed_maps(texts: DataFrame, column: str = "value") -> DataFrame:
     """JSON objects ``{id: {url, last_updated}}`` -> ``id, url, last_updated``."""
     parsed = F.from_json(column, "map<string,struct<url:string,last_updated:string>>")
     return unfold(texts, [], F.map_entries(parsed), "e").select(
-        F.col("e.key").alias("id"),
+        F.nullif("e.key", F.lit(NO_ID)).alias("id"),
         "e.value.url",
         F.to_date("e.value.last_updated").alias("last_updated"),
     )

@@ -32,6 +32,21 @@ def test_change_sets_of_many_documents_and_times(spark, tmp_path):
         assert back.select("id", "change_ts").distinct().count() == back.count() == 70_000
 
 
+def test_repeated_and_missing_ids_are_kept(spark, tmp_path):
+    ids = [("a", 1), ("a", 2), ("a", 1), ("b", 1), (None, 1), (None, 2)]
+    rows = [(kind, i, f"u{i}", date(2024, 1, day)) for kind in ("removed", "added") for i, day in ids]
+    feed = spark.createDataFrame(rows, "change_type string, id string, url string, last_updated date")
+    feed = changes.stamped(feed, "2024-03-01 00:00:00")
+    pages = feed.select("id", "url", "last_updated")
+    for per_document in (50_000, 2):
+        path = str(tmp_path / f"changes-{per_document}")
+        assert writers.write_change_sets(feed, path, per_document) == len(rows)
+        back = changes.from_change_sets(readers.read_change_sets(spark, path))
+        assert sorted(map(str, back.collect())) == sorted(map(str, feed.collect()))
+        maps = changes.from_keyed_maps(changes.to_keyed_maps(pages, 50_000 // per_document))
+        assert sorted(map(str, maps.collect())) == sorted(map(str, pages.collect()))
+
+
 def test_stream_reads_every_document_of_a_feed(spark, tmp_path):
     old, crawl = make(spark, {0: 1, 1: 1})
     new, new_crawl = make(spark, {n: 1 for n in range(30)})
