@@ -47,16 +47,18 @@ def index_of(values: str = "values", metadata: str = "metadata") -> Column:
     return F.struct(F.col(f"{metadata}.doc_type"), F.size(values), F.col(f"{metadata}.chunk_size"))
 
 
+def vector_rank() -> Column:
+    """Which of several records of one index and id is the last: by date, then by the hash of text and vector."""
+    return F.struct(F.col("metadata.date").alias("at"), F.xxhash64("metadata.text", "values").alias("mark"))
+
+
 def last_vectors(new: DataFrame) -> DataFrame:
     """One record per index and id, so that collections of several chunk sizes stay side by side.
 
     The last stays: by date, then by the hash of text and vector; equal records count once.
     The choice is made on narrow columns, the vectors are only joined.
     """
-    rank = F.struct(
-        F.col("metadata.date").alias("at"), F.xxhash64("metadata.text", "values").alias("mark")
-    )
-    keyed = new.select("*", index_of().alias("_index"), rank.alias("_rank"))
+    keyed = new.select("*", index_of().alias("_index"), vector_rank().alias("_rank"))
     last = keyed.groupBy("id", "_index").agg(F.max("_rank").alias("_last"))
     one = keyed.join(last, ["id", "_index"]).where(F.col("_rank").eqNullSafe(F.col("_last")))
     return one.dropDuplicates(["id", "_index"]).select(*new.columns)

@@ -19,7 +19,7 @@ from corpuslake.operators import bm25, changes, chunks, documents, enrich, merge
 from corpuslake.operators.common import single
 from corpuslake.sources import readers, snapshots, writers
 from corpuslake.sources.lake import TABLES, Lake
-from corpuslake.sources.scratch import checkpointed, scratch_path, together
+from corpuslake.sources.scratch import checkpointed, scratch_path, stored, together
 
 
 @dataclass(frozen=True)
@@ -129,7 +129,7 @@ def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Setti
     change.  Weights come from the last refresh, which may be this batch's own.
     """
     text, order = "extracted_content", "doc_order"
-    deltas = checkpointed(bm25.term_deltas(doc_order(added), doc_order(removed), text, order))
+    deltas = stored(bm25.term_deltas(doc_order(added), doc_order(removed), text, order))
     sizes = deltas.where(F.col("term").isNull()).select(F.col("df").alias("n_docs"), "n_tokens")
     together(
         lake.spark,
@@ -139,7 +139,7 @@ def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Setti
     if not refresh:
         return stored_bm25(lake)
     every = lake.read("bm25_terms").unionByName(lake.appended("bm25_terms"))
-    terms = checkpointed(bm25.summed_terms(every))
+    terms = stored(bm25.summed_terms(every))
     all_sizes = lake.read("bm25_sizes").unionByName(lake.appended("bm25_sizes"))
     params = bm25.params_of(terms, all_sizes, settings.k1, settings.b, settings.epsilon)
     lake.append("bm25_params", params.withColumn("as_of", F.lit(lake.next_batch)))
@@ -181,7 +181,7 @@ def _append_documents(lake: Lake, asked: int, terms, params, settings: Settings,
 
 
 def _append_vectors(lake: Lake, settings: Settings) -> int:
-    return lake.append("vectors", documents.upload_records(lake.appended("documents"), settings.project))
+    return lake.append("vectors", documents.upload_records(lake.appended("documents"), settings.project), placed=True)
 
 
 def _append_ids(lake: Lake) -> int:
@@ -213,7 +213,7 @@ def initial_load(
     (terms, params), asked = together(
         lake.spark,
         lambda: track_bm25(lake, pages, before, settings, refresh=first),
-        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes)),
+        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes), placed=True),
     )
     made = _append_documents(lake, asked, terms, params, settings)
     together(lake.spark, lambda: _append_vectors(lake, settings), lambda: _append_ids(lake))
@@ -315,7 +315,7 @@ def apply_changes(
     (ids, docs, vectors, old_chunks), asked, statistics = together(
         lake.spark,
         derived,
-        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes)),
+        lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes), placed=True),
         track if refresh_bm25 else lambda: stored_bm25(lake),
     )
     yes = F.lit(True)
@@ -381,22 +381,31 @@ def run_report(feed: DataFrame, deleted: dict, updated: int, batch_id: str) -> D
 # -- publishing ----------------------------------------------------------------------
 
 
+def _append_last(lake: Lake, records: DataFrame) -> None:
+    """Appends one record per index and id."""
+    lake.append("vectors", records, one_of=(F.col("id"), merge.index_of()), latest=merge.vector_rank())
+
+
 def _register(lake: Lake, ids: DataFrame) -> None:
     lake.append("registry", ids.select("unique_id").distinct())
 
 
-def publish_vectors(lake: Lake, docs: DataFrame, project: str, batch_id: str) -> DataFrame | None:
+def publish_vectors(
+    lake: Lake, docs: DataFrame, project: str, batch_id: str, settled: bool = False
+) -> DataFrame | None:
     """Upserts documents into the vector table and registers their ids.
 
     The table itself is not read: records are appended, and their keys end older ones.
+    The documents are read three times, so they are stored first unless they are
+    ``settled``: files as they lie, cheap to read and the same each time.
     """
     if not lake.begin(batch_id):
         return None
-    docs = checkpointed(docs)
+    docs = docs if settled else stored(docs)
     updated = docs.count()
     if not updated:
         return None
-    lake.append("vectors", merge.last_vectors(documents.upload_records(docs, project)))
+    _append_last(lake, documents.upload_records(docs, project))
     _register(lake, docs)
     keys = [_replaced(table, lake.appended(table)) for table in ("vectors", "registry")]
     lake.remove(reduce(DataFrame.unionByName, keys))
@@ -406,7 +415,7 @@ def publish_vectors(lake: Lake, docs: DataFrame, project: str, batch_id: str) ->
 
 
 def publish_new_vectors(
-    lake: Lake, docs: DataFrame, chunk_size: int, doc_type: str, batch_id: str
+    lake: Lake, docs: DataFrame, chunk_size: int, doc_type: str, batch_id: str, settled: bool = False
 ) -> DataFrame | None:
     """Adds only documents the vector table does not hold; existing ones stay as they are.
 
@@ -415,7 +424,7 @@ def publish_new_vectors(
     """
     if not lake.begin(batch_id):
         return None
-    docs = checkpointed(docs)
+    docs = docs if settled else stored(docs)
     held = lake.read("vectors", lake.near(docs, "unique_id"))
     asked = F.struct(F.lit(doc_type), F.size("values"), F.lit(chunk_size))
     fresh = merge.new_vectors_only(docs, held, asked)
@@ -430,7 +439,7 @@ def publish_new_vectors(
     )
     no_sparse = F.lit(None).cast(schemas.SPARSE_PAIR).alias("sparse_values")
     rows = reduced.select("id", "values", no_sparse, metadata.alias("metadata"))
-    lake.append("vectors", merge.last_vectors(rows))
+    _append_last(lake, rows)
     _register(lake, docs)
     lake.remove(_replaced("registry", lake.appended("registry")))
     lake.commit(batch_id)
@@ -444,7 +453,7 @@ def publish_folder(lake: Lake, folder: str, model: str, project: str, batch_id:
         "metadata",
         F.col("metadata").withField("chunk_size", F.col("chunk_size")),
     )
-    return publish_vectors(lake, stamped.select(*schemas.DOCUMENTS.fieldNames()), project, batch_id)
+    return publish_vectors(lake, stamped.select(*schemas.DOCUMENTS.fieldNames()), project, batch_id, settled=True)
 
 
 def clear_vectors(lake: Lake, model: str, batch_id: str) -> DataFrame | None:

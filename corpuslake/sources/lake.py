@@ -12,7 +12,7 @@ next run overwrites or empties what a lost one left.  One writer at a time is as
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -128,23 +128,37 @@ class Lake:
         return F.substring(key, 1, self.hex_digits)
 
     def _write(self, placed: DataFrame, path: str, by: list, counts: dict, mode: str = "overwrite") -> dict:
-        """Rebalancing lets AQE split a bucket that one page dominates and merge small ones.
-
-        The counts are taken behind it, in the tasks that write, so no row is read for them again.
-        """
+        """The counts are taken in the tasks that write, so no row is read for them again."""
         seen = Observation()
-        watched = placed.hint("rebalance", *by).observe(seen, *[c.alias(n) for n, c in counts.items()])
-        watched.write.mode(mode).partitionBy(*by).parquet(path)
+        watched = placed.observe(seen, *[c.alias(n) for n, c in counts.items()])
+        watched.write.mode(mode).option("compression", "zstd").partitionBy(*by).parquet(path)
         return seen.get
 
-    def append(self, table: str, rows: DataFrame) -> int:
-        """Writes rows of the coming batch; returns their number."""
+    def append(self, table: str, rows: DataFrame, placed: bool = False, one_of=(), latest: Column | None = None) -> int:
+        """Writes rows of the coming batch; returns their number.
+
+        Rebalancing lets AQE split a bucket that one page dominates and merge small ones.  Rows
+        that are ``placed``, made from rows of the same buckets as they lie in storage, stay
+        where they are.  Of rows that agree in ``one_of`` the greatest by ``latest`` is written;
+        they meet in the one exchange that brings the rows to their buckets.
+        """
         shape = TABLES[table]
         bucket = F.lit("all") if shape.key is None else self.bucket_of(shape.key_column())
-        placed = rows.select(*shape.schema.fieldNames(), bucket.alias("bucket"))
+        found = rows.select(*shape.schema.fieldNames(), bucket.alias("bucket"))
+        if latest is not None:
+            found = self._last(found, one_of, latest)
+        elif not placed:
+            found = found.hint("rebalance", "bucket")
         self._written.add(table)
-        found = self._write(placed, f"{self.root}/{table}/batch={self.next_batch}", ["bucket"], {"n": F.count(F.lit(1))})
-        return found["n"]
+        path = f"{self.root}/{table}/batch={self.next_batch}"
+        return self._write(found, path, ["bucket"], {"n": F.count(F.lit(1))})["n"]
+
+    def _last(self, rows: DataFrame, one_of, latest: Column) -> DataFrame:
+        """One row of those that agree in ``one_of``, by bucket and a salt that deals a bucket to several tasks."""
+        deal = -(-2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16**self.hex_digits)
+        dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*one_of), F.lit(deal))).repartition("bucket", "_salt")
+        order = Window.partitionBy("bucket", "_salt", *one_of).orderBy(latest.desc())
+        return dealt.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*rows.columns)
 
     def remove(self, keys: DataFrame) -> dict:
         """Writes ``table, key, counted`` of rows that the coming batch removes or replaces; further calls add to it.
@@ -158,6 +172,7 @@ class Lake:
         mode = "append" if "removed" in self._written else "overwrite"
         self._written.add("removed")
         placed = keys.select("table", "key", "counted", self.bucket_of(F.col("key")).alias("bucket"))
+        placed = placed.hint("rebalance", "table", "bucket")
         return self._write(placed, f"{self.root}/removed/batch={self.next_batch}", ["table", "bucket"], counts, mode)
 
     # -- reading -----------------------------------------------------------------
@@ -177,8 +192,11 @@ class Lake:
         return stored.where(F.col("batch").between(first, self.state()[0]))
 
     def placed(self, table: str, near: "Near | None" = None) -> DataFrame:
-        """Current rows with ``key``, ``bucket`` and ``batch``; ``near`` limits them to some buckets."""
-        since = self.state()[1][table]
+        """Current rows with ``key``, ``bucket`` and ``batch``; ``near`` limits them to some buckets.
+
+        Nothing removes rows of the last batch, so only older ones are joined with the removed keys.
+        """
+        last, since = self.state()[0], self.state()[1][table]
         shape = TABLES[table]
         rows = self._rows(table, T.StructType([*shape.schema.fields, *_PLACE]), since)
         if shape.key is None:
@@ -189,7 +207,12 @@ class Lake:
             rows, removed = rows.join(F.broadcast(near.buckets), "bucket", "left_semi"), near.removed
         gone = removed.where(F.col("table") == table).select(F.col("key").alias("_key"), F.col("batch").alias("_batch"))
         rows = rows.withColumn("key", shape.key_column())
-        return rows.join(gone, (F.col("key") == F.col("_key")) & (F.col("_batch") > F.col("batch")), "left_anti")
+        newest = rows.where(F.col("batch") == last)
+        if since >= last:
+            return newest
+        older = rows.where(F.col("batch") < last)
+        kept = older.join(gone, (F.col("key") == F.col("_key")) & (F.col("_batch") > F.col("batch")), "left_anti")
+        return kept.unionByName(newest)
 
     def read(self, table: str, near: "Near | None" = None) -> DataFrame:
         """Current rows of a table; empty if never written."""

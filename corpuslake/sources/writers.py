@@ -71,9 +71,9 @@ def write_documents(documents: DataFrame, path: str, model: str) -> None:
 def write_collection(
     documents: DataFrame, folder: str, model: str, chunk_size: int, doc_type: str = C.DOC_TYPE
 ) -> str:
-    """Documents as a JSON collection under its conventional name."""
+    """Documents as a JSON collection of gzip files under its conventional name."""
     target = f"{folder}/{collection_name(doc_type, chunk_size, model)}"
-    documents.write.mode("overwrite").option("ignoreNullFields", False).json(target)
+    documents.write.mode("overwrite").option("ignoreNullFields", False).json(target, compression="gzip")
     return target
 
 

@@ -148,3 +148,28 @@ def test_indexes_stay_side_by_side_and_the_last_wins(spark, tmp_path):
     assert sorted((r.chunk_size, r.project, r["count"]) for r in found) == [(64, "q", n), (256, "p", n)]
     newest = lake.read("vectors").where("metadata.chunk_size = 64").agg(F.max("metadata.date"), F.min("metadata.date")).first()
     assert newest[0] == newest[1]
+
+
+def test_rows_meet_once_on_their_way_to_a_bucket(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), hex_digits=1)
+    pages, crawl = make(spark, {n: 1 for n in range(3)})
+    jobs.initial_load(lake, pages, crawl, SETTINGS, batch_id="b0")
+    plan = lambda: lake.read("vectors")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in plan()
+    docs, n = lake.read("documents"), lake.read("documents").count()
+    later = docs.withColumn("metadata", F.col("metadata").withField("date", F.date_add("metadata.date", 9)))
+    jobs.publish_vectors(lake, docs.union(later).union(later), "p", "b1", settled=True)
+    assert "Join" in plan()
+    found = lake.read("vectors").select("id", "metadata.project", "metadata.date")
+    expected = later.select(F.col("unique_id").alias("id"), F.lit("p").alias("project"), "metadata.date")
+    assert found.count() == n and found.exceptAll(expected).isEmpty()
+
+
+def test_wide_results_are_stored_compressed(spark, tmp_path):
+    corpus = fx.corpus(spark, SF_DIR)
+    terms, _ = bm25.build_bm25(corpus, "extracted_content", "doc_id")
+    assert all(".parquet" in name for name in terms.inputFiles()) and terms.inputFiles()
+    docs = documents.generate_documents(fx.embedded_rows(spark, SF_DIR), "t", 1)
+    folder = writers.write_collection(docs, str(tmp_path), "m", 1)
+    assert readers.path_exists(spark, f"{folder}/*.json.gz") and not readers.path_exists(spark, f"{folder}/*.json")
+    assert readers.read_collections(spark, str(tmp_path), "m").count() == docs.count()
