@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpuslake import constants as C
 from corpuslake.functions.html import extract_text
+from corpuslake.operators.common import keep_last
 
 
 def lookup_html(
@@ -14,21 +15,23 @@ def lookup_html(
 
     A url fetched several times gives one page: the fetch that is last by
     ``latest_by`` (``fetched_at`` where the crawl has it), then one with html, then the
-    one whose html has the greatest hash.  The choice is made on these narrow columns;
-    the html itself is only joined.  ``drop_missing`` (update runs) joins inner, which
-    lets a small page list be the hashed side instead of shuffling the crawl.
+    one whose html has the greatest hash.  A whole crawl is reduced to one fetch a url
+    before and in the one exchange it takes.  ``drop_missing`` (update runs) joins inner,
+    which lets a small page list be the hashed side instead of shuffling the crawl; there
+    the choice is made on the narrow columns and the html itself is only joined.
     """
     order = latest_by or ("fetched_at" if "fetched_at" in crawl.columns else None)
     rank = [F.col(order).alias("at")] if order else []
     rank += [F.col("html").isNotNull().alias("some"), F.xxhash64("html").alias("mark")]
     fetched = crawl.select("url", F.col("html").alias("html_content"), F.struct(*rank).alias("_fetch"))
-    if drop_missing:
-        fetched = fetched.where(F.col("html_content").isNotNull())
-    fetched = fetched.join(pages.select("url"), "url", "left_semi")
+    if not drop_missing:
+        one = keep_last(fetched.where(F.col("url").isNotNull()), "url", ["_fetch"])
+        return pages.join(one, "url", "left").select(*pages.columns, "html_content")
+    fetched = fetched.where(F.col("html_content").isNotNull()).join(pages.select("url"), "url", "left_semi")
     last = fetched.groupBy("url").agg(F.max("_fetch").alias("_last"))
     one = fetched.join(last, "url").where(F.col("_fetch").eqNullSafe(F.col("_last")))
     one = one.select("url", "html_content").dropDuplicates(["url"])
-    joined = pages.join(one, "url", "inner" if drop_missing else "left")
+    joined = pages.join(one, "url", "inner")
     return joined.select(*pages.columns, "html_content")
 
 

@@ -110,10 +110,13 @@ def doc_order(pages: DataFrame) -> DataFrame:
 
 
 def stored_bm25(lake: Lake):
-    """(terms ``term, term_idx, df, idf``; params) of the last refresh; both empty if there was none."""
+    """(terms ``term, term_idx, df, idf``; params) of the last refresh; both empty if there was none.
+
+    The terms are summed up and stored once, as whoever looks words up reads them several times.
+    """
     params = _one_row(lake.read("bm25_params"))
     until = F.col("batch") <= single(params, "as_of")
-    terms = bm25.summed_terms(lake.placed("bm25_terms").where(until))
+    terms = stored(bm25.summed_terms(lake.placed("bm25_terms").where(until)))
     return bm25.add_idf(terms, params), params.select(*schemas.BM25_PARAMS.fieldNames())
 
 
@@ -148,15 +151,17 @@ def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Setti
 
 
 def build_documents(
-    chunk_rows: DataFrame, terms: DataFrame, params: DataFrame, settings: Settings, known: DataFrame | None = None
+    chunk_rows: DataFrame, terms: DataFrame, params: DataFrame, settings: Settings, known: DataFrame | None = None,
+    place: list | None = None,
 ):
     """Chunks -> documents with sparse and dense vectors, and the mark of what each vector was made from.
 
-    ``known`` (``mark, values``) has vectors that need not be made again.
+    ``known`` (``mark, values``) has vectors that need not be made again.  Without it the
+    documents lie by ``place``, columns that chunk id and size determine.
     """
     size = F.col("chunk_size").cast("string")
     weighted = bm25.add_sparse_vectors(
-        chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key"
+        chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key", place=place
     ).drop("_key")
     if known is None:
         embedded = documents.embed_chunks(weighted, settings.load_model)
@@ -175,7 +180,9 @@ def _embedded_enough(asked: int, given: int, settings: Settings) -> None:
 
 def _append_documents(lake: Lake, asked: int, terms, params, settings: Settings, known=None) -> int:
     """Appends documents of the appended chunks; returns their number."""
-    given = lake.append("documents", build_documents(lake.appended("chunks"), terms, params, settings, known))
+    place = lake.place_of(F.col("unique_id")) if known is None else None
+    made = build_documents(lake.appended("chunks"), terms, params, settings, known, place)
+    given = lake.append("documents", made, placed=known is None)
     _embedded_enough(asked, given, settings)
     return given
 

@@ -154,12 +154,20 @@ class Lake:
         return self._write(found, path, ["bucket"], {"n": F.count(F.lit(1))})["n"]
 
     def _last(self, rows: DataFrame, one_of, latest: Column) -> DataFrame:
-        """One row of those that agree in ``one_of``, by bucket and a salt that deals a bucket to several tasks."""
-        deal = -(-2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16**self.hex_digits)
-        dealt = rows.withColumn("_salt", F.pmod(F.xxhash64(*one_of), F.lit(deal))).repartition("bucket", "_salt")
+        """One row of those that agree in ``one_of``, by bucket and salt."""
+        dealt = rows.withColumn("_salt", self._salt(*one_of)).repartition("bucket", "_salt")
         order = Window.partitionBy("bucket", "_salt", *one_of).orderBy(latest.desc())
         return dealt.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*rows.columns)
 
+    def _salt(self, *columns) -> Column:
+        """Deals a bucket to several tasks, so that all buckets make about twice as many parts as there are partitions."""
+        deal = -(-2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16**self.hex_digits)
+        return F.pmod(F.xxhash64(*columns), F.lit(deal))
+
+    def place_of(self, key: Column) -> list[Column]:
+        """Bucket and salt of a key: rows partitioned by them are ``placed`` for ``append``."""
+        return [self.bucket_of(key), self._salt(key)]
+
     def remove(self, keys: DataFrame) -> dict:
         """Writes ``table, key, counted`` of rows that the coming batch removes or replaces; further calls add to it.
 

@@ -120,6 +120,44 @@ def test_postings_are_unfolded_and_counted_once(spark):
     assert len(outcomes) == 1
 
 
+def test_found_postings_stay_with_their_chunk(spark):
+    words = [("b", "x y x"), ("a", "x x z w"), ("a", "x x z w"), (None, "x y"), ("c", None), ("d", "w w q")]
+    rows = spark.createDataFrame([(k, t, n) for n, (k, t) in enumerate(words)], "unique_id string, text string, n int")
+    terms = spark.createDataFrame(
+        [("w", 3, 1, 2.0), ("x", 0, 3, 0.5), ("y", 1, 2, 1.0), ("z", 2, 1, 2.0)], "term string, term_idx long, df long, idf double"
+    )
+    plain = bm25.sparse_weights(rows, terms, None).collect()
+    expected = {}
+    for r in plain:
+        expected.setdefault(r.unique_id, {})[r.term_idx] = pytest.approx(r.score)
+    for hot_terms in (0, 3, 10**9):
+        for place in (None, [F.substring("unique_id", 1, 1), F.pmod(F.xxhash64("unique_id"), F.lit(2))]):
+            found = bm25.add_sparse_vectors(rows, terms, None, hot_terms=hot_terms, place=place)
+            assert found.columns == ["unique_id", "text", "n", "bm25_sparse_vector"]
+            got = found.collect()
+            assert sorted(r.n for r in got) == list(range(6))
+            assert all(r.bm25_sparse_vector == (expected.get(r.unique_id, {}) if r.unique_id else {}) for r in got)
+    # Nothing but the bounded table of frequent terms is joined to whole chunks.
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    joins = [line for line in plan.splitlines() if "Join LeftOuter" in line or "Join LeftAnti" in line]
+    assert joins and all("strategy=broadcast" in line for line in joins)
+
+
+def test_terms_are_named_once_per_pair(spark):
+    terms = spark.createDataFrame([("often", 7, 90, 0.1), ("once", 8, 1, 3.0)], "term string, term_idx long, df long, idf double")
+    pairs = spark.createDataFrame([("a", 7), ("a", 8), ("b", 7), ("b", 9), ("b", 7)], "id string, indices int")
+    for hot_terms in (0, 2, 10**9):
+        named = bm25.name_terms(pairs, terms, hot_terms=hot_terms).select("id", "term").collect()
+        assert sorted(map(tuple, named)) == [("a", "often"), ("a", "once"), ("b", "often"), ("b", "often")]
+
+
+def test_a_crawl_is_shuffled_once(spark):
+    pages, crawl = make(spark, {n: 1 for n in range(6)})
+    found = enrich.lookup_html(pages, crawl.union(crawl))
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("Join") == 1
+    assert found.count() == 6
+
+
 class Dead:
     def embed_documents(self, texts):
         raise RuntimeError("no model")
