@@ -26,20 +26,29 @@ def text_mark(model: str, text: str = "text") -> Column:
     return F.sha2(F.concat(F.lit(f"{model}\0"), F.col(text)), 256)
 
 
-def embed_changed_chunks(
-    chunks: DataFrame, known: DataFrame, load_model: Callable[[], object], model: str, text: str = "text"
-) -> DataFrame:
-    """Adds ``embedding`` and ``mark``; the model sees only texts without a vector in ``known`` (``mark, values``).
+def with_known_vectors(chunks: DataFrame, known: DataFrame, model: str, text: str = "text") -> DataFrame:
+    """Adds ``mark`` and ``_held``, the vector that ``known`` (``mark, values``) has for it, or null.
 
-    Rows the model fails on are dropped.  Equal marks have equal vectors, so any one of them will do.
+    Equal marks have equal vectors, so any one of them will do.
     """
     held = known.where(F.col("mark").isNotNull()).groupBy("mark").agg(F.first("values").alias("_held"))
-    matched = chunks.withColumn("mark", text_mark(model, text)).join(held, "mark", "left")
+    return chunks.withColumn("mark", text_mark(model, text)).join(held, "mark", "left")
+
+
+def embed_unknown(matched: DataFrame, load_model: Callable[[], object], text: str = "text") -> DataFrame:
+    """``_held`` becomes ``embedding``; the model sees only texts without one.  Rows the model fails on are dropped."""
     asked = F.when(F.col("_held").isNull(), F.col(text))
     found = matched.withColumn("_new", embed_text(asked, load_model))
     return found.withColumn("embedding", F.coalesce("_held", "_new")).drop("_held", "_new").dropna(subset=["embedding"])
 
 
+def embed_changed_chunks(
+    chunks: DataFrame, known: DataFrame, load_model: Callable[[], object], model: str, text: str = "text"
+) -> DataFrame:
+    """Adds ``embedding`` and ``mark``; the model sees only texts without a vector in ``known`` (``mark, values``)."""
+    return embed_unknown(with_known_vectors(chunks, known, model, text), load_model, text)
+
+
 def _column_or(df: DataFrame, name: str, default: Column) -> Column:
     return F.col(name) if name in df.columns else default
 

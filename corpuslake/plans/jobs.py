@@ -156,9 +156,11 @@ def build_documents(
 ):
     """Chunks -> documents with sparse and dense vectors, and the mark of what each vector was made from.
 
-    ``known`` (``mark, values``) has vectors that need not be made again.  Without it the
-    documents lie by ``place``, columns that chunk id and size determine.
+    ``known`` (``mark, values``) has vectors that need not be made again; they are found while
+    the chunks are narrow.  Documents lie by ``place``, columns that chunk id and size determine.
     """
+    if known is not None:
+        chunk_rows = stored(documents.with_known_vectors(chunk_rows, known, settings.model))
     size = F.col("chunk_size").cast("string")
     weighted = bm25.add_sparse_vectors(
         chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key", place=place
@@ -167,7 +169,7 @@ def build_documents(
         embedded = documents.embed_chunks(weighted, settings.load_model)
         embedded = embedded.withColumn("mark", documents.text_mark(settings.model))
     else:
-        embedded = documents.embed_changed_chunks(weighted, known, settings.load_model, settings.model)
+        embedded = documents.embed_unknown(weighted, settings.load_model)
     made = documents.generate_documents(embedded, settings.doc_type, keep=("mark",))
     return made
 
@@ -180,9 +182,9 @@ def _embedded_enough(asked: int, given: int, settings: Settings) -> None:
 
 def _append_documents(lake: Lake, asked: int, terms, params, settings: Settings, known=None) -> int:
     """Appends documents of the appended chunks; returns their number."""
-    place = lake.place_of(F.col("unique_id")) if known is None else None
+    place = lake.place_of(F.col("unique_id"))
     made = build_documents(lake.appended("chunks"), terms, params, settings, known, place)
-    given = lake.append("documents", made, placed=known is None)
+    given = lake.append("documents", made, placed=True)
     _embedded_enough(asked, given, settings)
     return given
 

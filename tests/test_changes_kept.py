@@ -143,6 +143,16 @@ def test_found_postings_stay_with_their_chunk(spark):
     assert joins and all("strategy=broadcast" in line for line in joins)
 
 
+def test_known_vectors_are_found_while_chunks_are_narrow(spark):
+    chunk = spark.createDataFrame([("p_1", "one two", 16), ("p_2", "three", 16), ("q_1", None, 16)], "unique_id string, text string, chunk_size int")
+    marked = chunk.withColumn("mark", documents.text_mark("m"))
+    known = marked.where("unique_id = 'p_1'").select("mark", F.array(F.lit(5.0).cast("float")).alias("values"))
+    matched = documents.with_known_vectors(chunk, known.union(known), "m")
+    assert {r.unique_id: r._held for r in matched.collect()} == {"p_1": [5.0], "p_2": None, "q_1": None}
+    found = documents.embed_unknown(matched, lambda: HashingEmbedder(1))
+    assert {r.unique_id: list(map(abs, r.embedding)) for r in found.collect()} == {"p_1": [5.0], "p_2": [1.0]}
+
+
 def test_terms_are_named_once_per_pair(spark):
     terms = spark.createDataFrame([("often", 7, 90, 0.1), ("once", 8, 1, 3.0)], "term string, term_idx long, df long, idf double")
     pairs = spark.createDataFrame([("a", 7), ("a", 8), ("b", 7), ("b", 9), ("b", 7)], "id string, indices int")
