@@ -22,6 +22,10 @@ from corpuslake.sources.lake import TABLES, Lake
 from corpuslake.sources.scratch import checkpointed, scratch_path, stored, together
 
 
+# Chunks of one task that makes documents.  It sorts their postings, so this bounds its memory.
+MOST_CHUNKS, LEAST_CHUNKS = 16_384, 1_024
+
+
 @dataclass(frozen=True)
 class Settings:
     """What a corpus is made with."""
@@ -125,20 +129,26 @@ def _one_row(params: DataFrame) -> DataFrame:
     return params.sparkSession.createDataFrame(params.collect(), params.schema)
 
 
-def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Settings, refresh: bool):
-    """Appends what a batch changes in the statistics; returns (terms, params) to weigh its chunks with.
+def append_deltas(lake: Lake, added: DataFrame, removed: DataFrame) -> None:
+    """Appends what a batch changes in the statistics.
 
-    The changes are kept for every batch, so a later refresh needs no page that did not
-    change.  Weights come from the last refresh, which may be this batch's own.
+    The changes are kept for every batch, so a later refresh needs no page that did not change.
     """
-    text, order = "extracted_content", "doc_order"
-    deltas = stored(bm25.term_deltas(doc_order(added), doc_order(removed), text, order))
+    deltas = stored(bm25.term_deltas(doc_order(added), doc_order(removed), "extracted_content", "doc_order"))
     sizes = deltas.where(F.col("term").isNull()).select(F.col("df").alias("n_docs"), "n_tokens")
     together(
         lake.spark,
         lambda: lake.append("bm25_terms", bm25.with_new_ids(deltas, lake.read("bm25_terms"))),
         lambda: lake.append("bm25_sizes", sizes),
     )
+
+
+def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Settings, refresh: bool):
+    """Appends what a batch changes in the statistics; returns (terms, params) to weigh its chunks with.
+
+    Weights come from the last refresh, which may be this batch's own.
+    """
+    append_deltas(lake, added, removed)
     if not refresh:
         return stored_bm25(lake)
     every = lake.read("bm25_terms").unionByName(lake.appended("bm25_terms"))
@@ -152,18 +162,19 @@ def track_bm25(lake: Lake, added: DataFrame, removed: DataFrame, settings: Setti
 
 def build_documents(
     chunk_rows: DataFrame, terms: DataFrame, params: DataFrame, settings: Settings, known: DataFrame | None = None,
-    place: list | None = None,
+    place: list | None = None, parts: int | None = None,
 ):
     """Chunks -> documents with sparse and dense vectors, and the mark of what each vector was made from.
 
     ``known`` (``mark, values``) has vectors that need not be made again; they are found while
-    the chunks are narrow.  Documents lie by ``place``, columns that chunk id and size determine.
+    the chunks are narrow.  Documents lie by ``place``, columns that chunk id and size determine,
+    and with ``parts`` in so many tasks.
     """
     if known is not None:
         chunk_rows = stored(documents.with_known_vectors(chunk_rows, known, settings.model))
     size = F.col("chunk_size").cast("string")
     weighted = bm25.add_sparse_vectors(
-        chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key", place=place
+        chunk_rows.withColumn("_key", F.concat_ws("|", "unique_id", size)), terms, params, key="_key", place=place, parts=parts
     ).drop("_key")
     if known is None:
         embedded = documents.embed_chunks(weighted, settings.load_model)
@@ -180,10 +191,20 @@ def _embedded_enough(asked: int, given: int, settings: Settings) -> None:
         raise RuntimeError(f"the model gave no vector for {asked - given} of {asked} chunks")
 
 
+def _parts(lake: Lake, asked: int) -> int:
+    """Tasks that make the documents of so many chunks: none gets many more than MOST_CHUNKS, whatever the corpus.
+
+    Small batches are dealt to the usual partitions, but not to more than give each LEAST_CHUNKS.
+    """
+    usual = int(lake.spark.conf.get("spark.sql.shuffle.partitions"))
+    return max(1, -(-asked // MOST_CHUNKS), min(usual, -(-asked // LEAST_CHUNKS)))
+
+
 def _append_documents(lake: Lake, asked: int, terms, params, settings: Settings, known=None) -> int:
     """Appends documents of the appended chunks; returns their number."""
-    place = lake.place_of(F.col("unique_id"))
-    made = build_documents(lake.appended("chunks"), terms, params, settings, known, place)
+    parts = _parts(lake, asked)
+    place = [lake.place_of(F.col("unique_id"), parts)]
+    made = build_documents(lake.appended("chunks"), terms, params, settings, known, place, parts)
     given = lake.append("documents", made, placed=True)
     _embedded_enough(asked, given, settings)
     return given
@@ -292,16 +313,20 @@ def apply_changes(
     fresh = enrich.enrich_pages(
         changes.pages_to_fetch(latest), crawl, settings.titles, settings.bodies, drop_null=True
     )
-    old = lake.placed("pages", near).join(latest.select("id", "change_type"), "id")
+    # Html is joined only for the few added pages that the table holds already.
+    whole = lake.placed("pages", near)
+    narrow = whole.select("id", "key", "extracted_content", F.col("html_content").isNull().alias("no_html"))
+    old = narrow.join(latest.select("id", "change_type"), "id")
     old = checkpointed(old.withColumn("gone", F.col("change_type").isin("removed", "modified")))
-    lake.append("pages", merge.update_keep_values(fresh, old.where("not gone")))
+    present = stored(old.where("not gone").select("id"))
+    lake.append("pages", merge.update_keep_values(fresh, whole.join(present, "id", "left_semi")))
     pages = lake.appended("pages")
     renewed = old.where("not gone").join(pages.select("id"), "id", "left_semi")
     # Completeness is a rule for the whole page table; row-group null counts keep this scan small.
     unfinished = lake.placed("pages").where(
         F.col("html_content").isNull() | F.col("extracted_content").isNull()
     ).join(old.select("id"), "id", "left_anti")
-    kept_open = old.where("not gone and (html_content is null or extracted_content is null)")
+    kept_open = old.where("not gone and (no_html or extracted_content is null)")
     kept_open = kept_open.join(pages.select("id"), "id", "left_anti")
     lost = [(old.where("gone"), True), (renewed, False), (unfinished, False), (kept_open, False)]
     no_longer = checkpointed(
@@ -320,12 +345,11 @@ def apply_changes(
         old_chunks = lake.placed("chunks", near).join(chunk_ids, "unique_id", "left_semi")
         return ids, checkpointed(docs.select("key", "mark", "values")), vectors, old_chunks
 
-    track = lambda: track_bm25(lake, pages, no_longer, settings, refresh_bm25)
     (ids, docs, vectors, old_chunks), asked, statistics = together(
         lake.spark,
         derived,
         lambda: lake.append("chunks", chunks.chunk_pages(pages, settings.chunk_sizes), placed=True),
-        track if refresh_bm25 else lambda: stored_bm25(lake),
+        lambda: track_bm25(lake, pages, no_longer, settings, True) if refresh_bm25 else stored_bm25(lake),
     )
     yes = F.lit(True)
     gone_keys = [
@@ -345,7 +369,7 @@ def apply_changes(
         lambda: _append_documents(lake, asked, *statistics, settings, docs.select("mark", "values")),
         lambda: lake.remove(reduce(DataFrame.unionByName, gone_keys)),
         lambda: lake.append("changes", stated),
-        (lambda: None) if refresh_bm25 else track,
+        lambda: None if refresh_bm25 else append_deltas(lake, pages, no_longer),
     )
     new_docs = lake.appended("documents")
     new_keys = [

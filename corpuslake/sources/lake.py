@@ -139,7 +139,7 @@ class Lake:
 
         Rebalancing lets AQE split a bucket that one page dominates and merge small ones.  Rows
         that are ``placed``, made from rows of the same buckets as they lie in storage, stay
-        where they are.  Of rows that agree in ``one_of`` the greatest by ``latest`` is written;
+        where they are, and so do rows of tables that have one bucket only.  Of rows that agree in ``one_of`` the greatest by ``latest`` is written;
         they meet in the one exchange that brings the rows to their buckets.
         """
         shape = TABLES[table]
@@ -147,7 +147,7 @@ class Lake:
         found = rows.select(*shape.schema.fieldNames(), bucket.alias("bucket"))
         if latest is not None:
             found = self._last(found, one_of, latest)
-        elif not placed:
+        elif shape.key is not None and not placed:
             found = found.hint("rebalance", "bucket")
         self._written.add(table)
         path = f"{self.root}/{table}/batch={self.next_batch}"
@@ -159,14 +159,24 @@ class Lake:
         order = Window.partitionBy("bucket", "_salt", *one_of).orderBy(latest.desc())
         return dealt.withColumn("_n", F.row_number().over(order)).where("_n = 1").select(*rows.columns)
 
+    def _deal(self, parts: int) -> int:
+        """Salts a bucket needs, so that all buckets make about twice as many places as there are parts."""
+        return -(-2 * parts // 16**self.hex_digits)
+
     def _salt(self, *columns) -> Column:
-        """Deals a bucket to several tasks, so that all buckets make about twice as many parts as there are partitions."""
-        deal = -(-2 * int(self.spark.conf.get("spark.sql.shuffle.partitions")) // 16**self.hex_digits)
+        """Deals a bucket to several tasks."""
+        deal = self._deal(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
         return F.pmod(F.xxhash64(*columns), F.lit(deal))
 
-    def place_of(self, key: Column) -> list[Column]:
-        """Bucket and salt of a key: rows partitioned by them are ``placed`` for ``append``."""
-        return [self.bucket_of(key), self._salt(key)]
+    def place_of(self, key: Column, parts: int) -> Column:
+        """Number of the part a key belongs to; rows dealt by it are ``placed`` for ``append``.
+
+        Parts are of like size, and each holds neighbouring buckets or a share of one.
+        """
+        deal = self._deal(parts)
+        bucket = F.coalesce(F.conv(self.bucket_of(key), 16, 10).try_cast("int"), F.lit(0))
+        number = bucket * deal + F.pmod(F.coalesce(F.xxhash64(key), F.lit(0)), F.lit(deal))
+        return F.floor(number * F.lit(parts) / F.lit(16**self.hex_digits * deal)).cast("int")
 
     def remove(self, keys: DataFrame) -> dict:
         """Writes ``table, key, counted`` of rows that the coming batch removes or replaces; further calls add to it.

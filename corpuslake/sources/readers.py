@@ -94,7 +94,9 @@ def read_collections(spark: SparkSession, folder: str, model: str) -> DataFrame:
 
 
 def empty(spark: SparkSession, schema) -> DataFrame:
-    return spark.createDataFrame([], schema)
+    """No rows, and the optimizer knows: a join with them moves nothing."""
+    fields = (T.StructType.fromDDL(schema) if isinstance(schema, str) else schema).fields
+    return spark.range(1).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in fields]).where(F.lit(False))
 
 
 def read_or_empty(spark: SparkSession, path: str, schema, fmt: str = "parquet") -> DataFrame:

@@ -143,6 +143,28 @@ def test_found_postings_stay_with_their_chunk(spark):
     assert joins and all("strategy=broadcast" in line for line in joins)
 
 
+def test_no_task_makes_more_documents_than_its_bound(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(jobs, "MOST_CHUNKS", 50)
+    rows = spark.range(4000).select(
+        F.concat(F.md5(F.col("id").cast("string")), F.lit("_1")).alias("unique_id"), F.concat(F.lit("x w"), "id").alias("text")
+    )
+    terms = spark.range(4000).select(
+        F.concat(F.lit("w"), "id").alias("term"), F.col("id").alias("term_idx"), F.lit(1).cast("long").alias("df"), F.lit(2.0).alias("idf")
+    )
+    for hex_digits, most_buckets in ((1, 2), (2, 6)):
+        lake = Lake(spark, str(tmp_path / f"lake{hex_digits}"), hex_digits=hex_digits)
+        parts = jobs._parts(lake, 4000)
+        assert parts == 80 and jobs._parts(lake, 3) == 1
+        found = bm25.add_sparse_vectors(rows, terms, None, place=[lake.place_of(F.col("unique_id"), parts)], parts=parts)
+        sizes = found.where(F.size("bm25_sparse_vector") == 1).groupBy(F.spark_partition_id()).agg(
+            F.count("*").alias("n"), F.count_distinct(lake.bucket_of(F.col("unique_id"))).alias("buckets")
+        ).collect()
+        assert len(sizes) == 80 and sum(r.n for r in sizes) == 4000 and max(r.n for r in sizes) < 110
+        assert max(r.buckets for r in sizes) <= most_buckets
+    nowhere = spark.createDataFrame([(None,), ("",), ("?_1",)], "key string").select(lake.place_of(F.col("key"), 3).alias("n"))
+    assert all(0 <= r.n < 3 for r in nowhere.collect())
+
+
 def test_known_vectors_are_found_while_chunks_are_narrow(spark):
     chunk = spark.createDataFrame([("p_1", "one two", 16), ("p_2", "three", 16), ("q_1", None, 16)], "unique_id string, text string, chunk_size int")
     marked = chunk.withColumn("mark", documents.text_mark("m"))
@@ -221,3 +243,38 @@ def test_wide_results_are_stored_compressed(spark, tmp_path):
     folder = writers.write_collection(docs, str(tmp_path), "m", 1)
     assert readers.path_exists(spark, f"{folder}/*.json.gz") and not readers.path_exists(spark, f"{folder}/*.json")
     assert readers.read_collections(spark, str(tmp_path), "m").count() == docs.count()
+
+
+def test_an_update_sums_the_terms_once_and_keeps_old_values_of_added_pages(spark, tmp_path, monkeypatch):
+    lake = Lake(spark, str(tmp_path / "lake"), hex_digits=1)
+    pages, crawl = make(spark, {n: 1 for n in range(4)})
+    jobs.initial_load(lake, pages, crawl, SETTINGS, batch_id="b0")
+    _, newer = make(spark, {n: 2 for n in range(5)})
+    listed, _ = make(spark, {n: 2 for n in (1, 4)})
+    feed = changes.stamped(
+        listed.select(F.lit("added").alias("change_type"), "id", "url", F.when(F.col("url").endswith("4"), F.col("last_updated")).alias("last_updated")),
+        "2024-03-01 00:00:00",
+    )
+    summed = []
+    real = bm25.summed_terms
+    monkeypatch.setattr(bm25, "summed_terms", lambda deltas: summed.append(1) or real(deltas))
+    jobs.apply_changes(lake, feed, newer, SETTINGS, batch_id="b1")
+    assert len(summed) == 1
+    found = {r.url[-1]: r for r in lake.read("pages").collect()}
+    assert sorted(found) == list("01234")
+    before = {r.url[-1]: r for r in crawl.collect()}
+    after = {r.url[-1]: r for r in newer.collect()}
+    assert [found[n].html_content == after[n].html for n in "01234"] == [False, True, False, False, True]
+    assert found["0"].html_content == before["0"].html
+    # The page that came again without a date keeps the one it had.
+    assert [found[n].last_updated for n in "14"] == [date(2024, 1, 2), date(2024, 1, 3)]
+
+
+def test_a_join_with_a_table_never_written_moves_nothing(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path / "lake"), hex_digits=1)
+    deltas = spark.createDataFrame([("a", 1, 5, 0, None)], "term string, df long, first_doc long, first_pos int, n_tokens long")
+    absent = readers.read_or_empty(spark, str(tmp_path / "none"), lake.read("bm25_terms").schema)
+    assert absent.schema == lake.read("bm25_terms").schema and absent.count() == 0
+    joined = deltas.join(lake.read("bm25_terms").select("term", F.lit(True).alias("held")), "term", "left")
+    assert "Join" not in joined._jdf.queryExecution().optimizedPlan().toString()
+    assert [tuple(r) for r in bm25.with_new_ids(deltas, lake.read("bm25_terms")).collect()] == [("a", 0, 1)]
