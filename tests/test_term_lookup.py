@@ -75,3 +75,27 @@ def test_parts_follow_the_text(spark, monkeypatch):
     monkeypatch.setattr(bm25, "PART_BYTES", 2)
     total = sum(len((t or "").encode()) for _, t in WORDS)
     assert bm25.parts_of(rows, "text") == -(-total // 2)
+
+
+def test_vectors_of_repeated_and_null_keys(spark, no_broadcast):
+    rows = _rows(spark).withColumn("n", F.monotonically_increasing_id())
+    weights = bm25.sparse_weights(_rows(spark), _terms(spark), None).where("unique_id is not null").collect()
+    expected = {}
+    for r in weights:
+        expected.setdefault(r.unique_id, {}).setdefault(r.term_idx, []).append(round(r.score, 9))
+    lone = {key for key, n in Counter(key for key, _ in WORDS).items() if n == 1}
+    for hot_terms in (0, 3, 10**9):
+        for where in _places():
+            got = bm25.add_sparse_vectors(rows.where("unique_id is null or unique_id <> 'a_1'"), _terms(spark), None, hot_terms=hot_terms, **where).collect()
+            assert len(got) == len({r.n for r in got}) == len(WORDS) - 3
+            for r in got:
+                vector = {k: [round(v, 9)] for k, v in r.bm25_sparse_vector.items()}
+                assert vector == (expected.get(r.unique_id, {}) if r.unique_id else {})
+    assert lone & set(expected) == {"a_2", "b_1", "1"}
+
+
+def test_no_posting_travels_to_its_vector(spark, no_broadcast):
+    rows = _rows(spark).where("unique_id is null or unique_id <> 'a_1'")
+    for where in _places():
+        made = _exchanges(bm25.add_sparse_vectors(rows, _terms(spark), None, hot_terms=0, **where))
+        assert made == {"Exchange shufflepartitionidpassthrough_part": 2, "Exchange hashpartitioning(term, 8": 2}
